@@ -99,9 +99,10 @@ def lowered_pair(left: Column | str, right: Column | str) -> Column:
 
 
 def contains_any(haystack: Column | str, needles: Sequence[str] = rules.WATCH_LIST) -> Column:
-    """Substring test (not word-bounded); plain byte search beats one regex alternation 4 to 1."""
+    """Substring test (not word-bounded); plain byte search beats one regex alternation 4 to 1.
+    Short needles go first: they are the likeliest to end the search."""
     haystack = _column(haystack)
-    return reduce(or_, [F.contains(haystack, F.lit(n)) for n in needles])
+    return reduce(or_, [F.contains(haystack, F.lit(n)) for n in sorted(needles, key=len)])
 
 
 def contains_ignoring_case(text: Column | str, keyword: str) -> Column:

@@ -61,15 +61,25 @@ def drill_down(source: str | None = None, topic: str | None = None) -> Criteria:
 
 @dataclass(frozen=True)
 class Star:
-    """Facts with their named dimensions."""
+    """A snapshot of the star schema: its files are listed once, however many reports follow.
+    Loads that come later show in the next ``Star.of``."""
 
     facts: DataFrame
     sources: DataFrame
     topics: DataFrame
+    dates: DataFrame
 
     @classmethod
     def of(cls, warehouse: Warehouse) -> Star:
-        return cls(warehouse.facts, warehouse.sources, warehouse.topics)
+        return cls(warehouse.facts, warehouse.sources, warehouse.topics, warehouse.dates)
+
+    def register_views(self) -> Star:
+        """Temp views under the tables' own names, for free SQL."""
+        self.facts.createOrReplaceTempView("fact_sentiment")
+        self.sources.createOrReplaceTempView("dim_source")
+        self.topics.createOrReplaceTempView("dim_topic")
+        self.dates.createOrReplaceTempView("dim_date")
+        return self
 
     def narrowed(self, criteria: Criteria) -> DataFrame:
         return self.facts.where(criteria.on_facts())
@@ -97,6 +107,6 @@ class Star:
             "message_key",
         )
 
-
-def with_calendar(rows: DataFrame, dim_date: DataFrame) -> DataFrame:
-    return rows.join(dim_date.select("date_id", "date_value", "year", "month", "day"), "date_id")
+    def with_calendar(self, rows: DataFrame) -> DataFrame:
+        days = self.dates.select("date_id", "date_value", "year", "month", "day")
+        return rows.join(days, "date_id")

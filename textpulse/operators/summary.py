@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from textpulse import rules
 from textpulse.functions import dates
-from textpulse.operators.star import EVERYTHING, Criteria, Star, with_calendar
+from textpulse.operators.star import EVERYTHING, Criteria, Star
 
 CLASS_COUNTS = list(rules.CLASSES)
 
@@ -96,10 +96,10 @@ def top_negative_sources(summary: DataFrame, n: int = rules.TOP_NEGATIVE) -> Dat
     return top(summary, "source_name", "negative", n)
 
 
-def calendar_rollup(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
+def calendar_rollup(star: Star, criteria: Criteria = EVERYTHING) -> DataFrame:
     """Counts per day of the calendar; facts are summed per date key before the join."""
-    per_day = facts.groupBy("date_id").agg(*_measures())
-    return with_calendar(per_day, dim_date).groupBy("year", "month", "day").agg(
+    per_day = star.with_calendar(star.narrowed(criteria).groupBy("date_id").agg(*_measures()))
+    return per_day.groupBy("year", "month", "day").agg(
         F.sum("messages").alias("messages"), *[F.sum(c).alias(c) for c in CLASS_COUNTS]
     )
 

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from textpulse import rules
 from textpulse.operators.recent import newest
 from textpulse.operators.star import Criteria, Star
-from textpulse.sources.warehouse import Warehouse
 
 DEFAULT_SQL = "SELECT count(*) AS row_count FROM fact_sentiment"
 
@@ -24,6 +23,5 @@ def adhoc(star: Star, criteria: Criteria, limit: int = rules.ADHOC_LIMIT) -> Dat
     return newest(adhoc_rows(star, criteria), limit).drop("message_key")
 
 
-def raw_sql(warehouse: Warehouse, statement: str = DEFAULT_SQL) -> DataFrame:
-    warehouse.register_views()
-    return warehouse.spark.sql(statement)
+def raw_sql(star: Star, statement: str = DEFAULT_SQL) -> DataFrame:
+    return star.register_views().facts.sparkSession.sql(statement)

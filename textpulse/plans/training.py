@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,23 +49,21 @@ def split(rows: DataFrame, by: str = "hash") -> tuple[DataFrame, DataFrame]:
     return rows.where(in_training), rows.where(~in_training)
 
 
-def token_stages() -> list:
+def term_stages() -> list:
+    """Tokens, without stop words, as hashed term frequencies."""
     return [
         RegexTokenizer(inputCol="clean_text", outputCol="words", pattern="\\s+"),
         StopWordsRemover(inputCol="words", outputCol="filtered_words"),
-    ]
-
-
-def feature_stages() -> list:
-    return [
-        *token_stages(),
         HashingTF(
             inputCol="filtered_words", outputCol="rawFeatures", numFeatures=rules.HASH_BUCKETS
         ),
-        IDF(inputCol="rawFeatures", outputCol="features"),
     ]
 
 
+def weighting() -> IDF:
+    return IDF(inputCol="rawFeatures", outputCol="features")
+
+
 def classifier() -> LogisticRegression:
     return LogisticRegression(
         featuresCol="features",
@@ -77,14 +75,23 @@ def classifier() -> LogisticRegression:
     )
 
 
+def balanced(rows: DataFrame) -> DataFrame:
+    """Even partitions for the many passes to come, whatever files the rows came from (one CSV file
+    is one task) and however often a text repeats."""
+    return rows.hint("rebalance")
+
+
 def fit(train: DataFrame) -> PipelineModel:
-    """Cleaned rows are kept for the two passes that read texts (IDF, then the classifier's input,
-    which MLlib keeps itself for its own passes)."""
-    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
+    """Texts are read and hashed once; both estimators work on the kept term vectors."""
+    terms = PipelineModel(term_stages())
+    counted = terms.transform(balanced(train.select("clean_text", "label")))
+    kept = counted.select("rawFeatures", "label").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return Pipeline(stages=[*feature_stages(), classifier()]).fit(kept)
+        weights = weighting().fit(kept)
+        model = classifier().fit(weights.transform(kept).select("features", "label"))
     finally:
         kept.unpersist()
+    return PipelineModel([*terms.stages, weights, model])
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:

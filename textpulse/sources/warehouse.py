@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from textpulse import schemas
 
@@ -22,8 +23,8 @@ class Warehouse:
     def create(self) -> Warehouse:
         """Empty tables where none exist."""
         for table, schema in schemas.STAR_TABLES.items():
-            empty = self.spark.createDataFrame([], schema)
-            writer = empty.write.mode("ignore")
+            columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+            writer = self.spark.range(0).select(*columns).write.mode("ignore")
             if table in PARTITIONED:
                 writer = writer.partitionBy(PARTITIONED[table])
             writer.parquet(self.path(table))
@@ -47,9 +48,3 @@ class Warehouse:
     @property
     def dates(self) -> DataFrame:
         return self.table("dim_date")
-
-    def register_views(self) -> Warehouse:
-        """Temp views under the tables' own names, for free SQL."""
-        for table in schemas.STAR_TABLES:
-            self.table(table).createOrReplaceTempView(table)
-        return self

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from textpulse import rules
 from textpulse.functions import dates
 from textpulse.operators import recent, summary
-from textpulse.operators.star import Criteria, drill_down, with_calendar
+from textpulse.operators.star import Criteria, drill_down
 from textpulse.plans import adhoc, bi
 from workload import inputs, sql
 from workload.registry import register
@@ -48,8 +48,8 @@ def join_star_adhoc(spark, sf_dir):
 SELECT f.fact_id, d.date_id, d.date_value, d."year", d."month", d."day"
 FROM facts f JOIN dim_date d ON f.date_id = d.date_id""")
 def join_dim_date(spark, sf_dir):
-    warehouse = inputs.warehouse(spark, sf_dir)
-    return with_calendar(warehouse.facts.select("fact_id", "date_id"), warehouse.dates)
+    star = inputs.star(spark, sf_dir)
+    return star.with_calendar(star.facts.select("fact_id", "date_id"))
 
 
 # Filters
@@ -151,16 +151,16 @@ def class_distribution(spark, sf_dir):
 
 @register("row_count", _facts("SELECT count(*) AS row_count FROM facts"))
 def row_count(spark, sf_dir):
-    return summary.row_count(inputs.warehouse(spark, sf_dir).facts)
+    return summary.row_count(inputs.star(spark, sf_dir).facts)
 
 
 @register("distinct_filter_values", _facts("""SELECT 'source_name' AS filter, v AS value FROM
   (SELECT DISTINCT source_name AS v FROM facts ORDER BY v LIMIT 100)
 UNION ALL SELECT 'topic_name', v FROM (SELECT DISTINCT topic_name AS v FROM facts ORDER BY v LIMIT 100)"""))
 def distinct_filter_values(spark, sf_dir):
-    warehouse = inputs.warehouse(spark, sf_dir)
-    sources = summary.distinct_values(warehouse.sources, "source_name")
-    topics = summary.distinct_values(warehouse.topics, "topic_name")
+    star = inputs.star(spark, sf_dir)
+    sources = summary.distinct_values(star.sources, "source_name")
+    topics = summary.distinct_values(star.topics, "topic_name")
     return sources.select(F.lit("source_name").alias("filter"), F.col("source_name").alias("value")).unionByName(
         topics.select(F.lit("topic_name").alias("filter"), F.col("topic_name").alias("value"))
     )
@@ -170,8 +170,7 @@ def distinct_filter_values(spark, sf_dir):
   month(created_at)::BIGINT AS "month", day(created_at)::BIGINT AS "day", count(*) AS messages, {_COUNTS}
 FROM facts GROUP BY ALL"""))
 def rollup_calendar(spark, sf_dir):
-    warehouse = inputs.warehouse(spark, sf_dir)
-    return summary.calendar_rollup(warehouse.facts, warehouse.dates)
+    return summary.calendar_rollup(inputs.star(spark, sf_dir))
 
 
 # Rankings
@@ -275,7 +274,7 @@ def job_bi(spark, sf_dir):
 def job_adhoc(spark, sf_dir):
     """Free SQL over the star schema's views."""
     return adhoc.raw_sql(
-        inputs.warehouse(spark, sf_dir),
+        inputs.star(spark, sf_dir),
         """SELECT t.topic_name, f.sentiment_class, count(*) AS messages, avg(f.word_count) AS avg_words
            FROM fact_sentiment f JOIN dim_topic t ON f.topic_id = t.topic_id
            GROUP BY t.topic_name, f.sentiment_class""",

@@ -80,7 +80,7 @@ def src_tweet_search(spark, sf_dir):
 SELECT source_name, 'Social Network' AS source_type, count(*) AS messages FROM facts GROUP BY ALL""")
 def src_dwh_table(spark, sf_dir):
     return adhoc.raw_sql(
-        inputs.warehouse(spark, sf_dir),
+        inputs.star(spark, sf_dir),
         """SELECT s.source_name, s.source_type, count(*) AS messages
            FROM fact_sentiment f JOIN dim_source s ON f.source_id = s.source_id
            GROUP BY s.source_name, s.source_type""",
@@ -185,11 +185,9 @@ SELECT 'dim_source' AS dim, load_dt, count(*) AS row_count FROM dim_source GROUP
 UNION ALL SELECT 'dim_topic', load_dt, count(*) FROM dim_topic GROUP BY ALL
 UNION ALL SELECT 'dim_date', load_dt, count(*) FROM dim_date GROUP BY ALL""")
 def sink_default_load_dt(spark, sf_dir):
-    warehouse = inputs.warehouse(spark, sf_dir)
-    tables = [
-        warehouse.table(name).select(F.lit(name).alias("dim"), "load_dt")
-        for name in ("dim_source", "dim_topic", "dim_date")
-    ]
+    star = inputs.star(spark, sf_dir)
+    dims = {"dim_source": star.sources, "dim_topic": star.topics, "dim_date": star.dates}
+    tables = [dim.select(F.lit(name).alias("dim"), "load_dt") for name, dim in dims.items()]
     stamped = tables[0].unionByName(tables[1]).unionByName(tables[2])
     return stamped.groupBy("dim", "load_dt").agg(F.count(F.lit(1)).alias("row_count"))
 
@@ -216,7 +214,7 @@ SELECT date_id, count(*) AS row_count, 0::BIGINT AS out_of_order FROM facts GROU
 def table_sort_key(spark, sf_dir):
     """Rows per day, and how many of them break their file's sort order. A file's rows are read in
     place, so its neighbours are found by row number and no day is gathered."""
-    facts = inputs.warehouse(spark, sf_dir).facts.select(
+    facts = inputs.star(spark, sf_dir).facts.select(
         "date_id",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("place"),

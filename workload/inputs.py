@@ -174,8 +174,16 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(use_utc(spark), root)
 
 
+_stars: dict[str, Star] = {}
+
+
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    return Star.of(warehouse(spark, sf_dir))
+    """One listing of the tables' files serves all reports until the next refresh, which is
+    another ``Star.of``."""
+    tables = warehouse(spark, sf_dir)
+    if tables.root not in _stars:
+        _stars[tables.root] = Star.of(tables)
+    return _stars[tables.root]
 
 
 def published(spark: SparkSession, sf_dir: str) -> str:

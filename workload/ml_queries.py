@@ -1,11 +1,11 @@
 """Model training, scoring and evaluation."""
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import HashingTF
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
-from textpulse import rules, storage
+from textpulse import storage
 from textpulse.operators import evaluation, staging
 from textpulse.plans import etl, training
 from textpulse.sinks.models import save_metrics, save_model
@@ -69,49 +69,48 @@ def random_split(spark, sf_dir):
 
 
 @register("ml_hashing_tf", rf"""WITH {sql.TRAINING},
-split AS (SELECT id, list_filter(regexp_split_to_array({sql.clean_for_training('text')}, '\s+'),
+split AS (SELECT {sql.LABEL} AS label, list_filter(regexp_split_to_array({sql.clean_for_training('text')}, '\s+'),
   lambda t: length(t) >= 1 AND NOT list_contains([{sql.quoted(sql.stop_words())}], t)) AS tokens FROM usable)
-SELECT id, len(tokens)::DOUBLE AS total_terms FROM split""")
+SELECT label, count(*) AS row_count, sum(len(tokens))::DOUBLE AS total_terms FROM split GROUP BY label""")
 def ml_hashing_tf(spark, sf_dir):
-    """Term-frequency vectors; what SQL can check of them is that no term got lost."""
-    rows = training.usable(inputs.training_set(spark, sf_dir))
-    cleaned = rows.select("id", training.text.clean_for_training("text").alias("clean_text"))
-    hashing = HashingTF(inputCol="filtered_words", outputCol="tf", numFeatures=rules.HASH_BUCKETS)
-    stages = [*training.token_stages(), hashing]
-    counted = Pipeline(stages=stages).fit(cleaned).transform(cleaned)
-    weights = F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda total, x: total + x)
-    return counted.select("id", weights.alias("total_terms"))
+    """Term-frequency vectors, summed per label; SQL can check that no term got lost."""
+    rows = _labelled(spark, sf_dir)
+    counted = PipelineModel(training.term_stages()).transform(rows)
+    return _vector_totals(counted, "rawFeatures", "total_terms")
+
+
+def _vector_totals(rows, vector, name):
+    """Sum of all weights per label. The vectors stay sparse; one sum vector per label comes out."""
+    sums = rows.groupBy("label").agg(
+        F.count(F.lit(1)).alias("row_count"), Summarizer.sum(F.col(vector)).alias("sums")
+    )
+    total = F.aggregate(vector_to_array("sums"), F.lit(0.0), lambda acc, x: acc + x)
+    return sums.select("label", "row_count", total.alias(name))
 
 
 def _fitted_idf(spark, sf_dir):
-    rows = _labelled(spark, sf_dir)
-    return Pipeline(stages=training.feature_stages()).fit(rows), rows
+    rows = training.balanced(_labelled(spark, sf_dir).select("clean_text", "label"))
+    counted = PipelineModel(training.term_stages()).transform(rows).select("rawFeatures", "label")
+    counted = storage.materialize(counted, storage.fresh_dir(spark, "terms"))
+    return training.weighting().fit(counted), counted
 
 
 @register("idf_docfreq")
 def idf_docfreq(spark, sf_dir):
-    """Document frequency per hashed term: documents per distinct bucket, combined map-side."""
-    rows = _labelled(spark, sf_dir)
-    stages = training.feature_stages()[:-1]
-    counted = Pipeline(stages=stages).fit(rows).transform(rows)
-    buckets = F.filter(
-        F.transform(vector_to_array("rawFeatures"), lambda x, i: F.when(x > 0, i)),
-        lambda i: i.isNotNull(),
-    )
-    return counted.select(F.explode(buckets).alias("bucket")).groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("doc_freq")
+    """Document frequency per hashed term, as the fitted stage holds it: one number per bucket,
+    whatever the number of documents."""
+    model, _ = _fitted_idf(spark, sf_dir)
+    frequencies = enumerate(int(n) for n in model.docFreq)
+    return spark.createDataFrame(
+        [pair for pair in frequencies if pair[1]], "bucket bigint, doc_freq bigint"
     )
 
 
 @register("ml_idf")
 def ml_idf(spark, sf_dir):
-    """Sum of TF-IDF weights per class."""
-    model, rows = _fitted_idf(spark, sf_dir)
-    weighted = model.transform(rows)
-    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda acc, x: acc + x)
-    return weighted.groupBy("label").agg(
-        F.count(F.lit(1)).alias("row_count"), F.avg(total).alias("avg_weight")
-    )
+    """TF-IDF vectors, summed per label."""
+    model, counted = _fitted_idf(spark, sf_dir)
+    return _vector_totals(model.transform(counted), "features", "total_weight")
 
 
 # Model
@@ -119,8 +118,8 @@ def ml_idf(spark, sf_dir):
 @register("ml_logreg")
 def ml_logreg(spark, sf_dir):
     """The classifier alone on ready features: rows per label and prediction."""
-    features, rows = _fitted_idf(spark, sf_dir)
-    ready = features.transform(rows).select("features", "label")
+    weights, counted = _fitted_idf(spark, sf_dir)
+    ready = weights.transform(counted).select("features", "label")
     scored = training.classifier().fit(ready).transform(ready)
     return scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("row_count"))
 
