@@ -52,8 +52,9 @@ def load(
     """
     use_utc(spark)
     warehouse.create()
-    current = staging.current_messages(staging.read_log(spark, log_path, since_batch))
-    fresh = not_yet_in(current, warehouse.facts, "message_key")
+    log = staging.read_log(spark, log_path, since_batch)
+    current = staging.current_messages(log)
+    fresh = not_yet_in(current, warehouse.facts, "message_key", log)
     scratch = storage.fresh_dir(spark, "load")
     try:
         prepared = storage.materialize(

@@ -7,14 +7,15 @@ from pyspark.sql import DataFrame
 from textpulse.sources.warehouse import Warehouse
 
 
-def not_yet_in(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Rows of ``new`` whose key the (far larger) table does not hold.
+def not_yet_in(new: DataFrame, existing: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows of ``new`` whose key the (far larger) table does not hold; ``keys`` are the keys of
+    ``new``, repeats allowed, from wherever they are cheapest to read.
 
     The table is first cut down to the keys at hand. When the load is small Spark broadcasts its
     keys, the table is scanned for one column and never shuffled; when both are large the two joins
     share one partitioning on the key.
     """
-    seen = existing.select(key).join(new.select(key), key, "left_semi")
+    seen = existing.select(key).join(keys.select(key).distinct(), key, "left_semi")
     return new.join(seen, key, "left_anti")
 
 

@@ -193,7 +193,7 @@ def sink_default_load_dt(spark, sf_dir):
 
 
 @register("ddl_star_schema", f"""WITH {sql.FACTS}, {sql.DIMS}
-SELECT 'dim_source' AS table_name, 4 AS n_columns, count(*) AS row_count FROM dim_source
+SELECT 'dim_source' AS table_name, 4::BIGINT AS n_columns, count(*) AS row_count FROM dim_source
 UNION ALL SELECT 'dim_topic', 3, count(*) FROM dim_topic
 UNION ALL SELECT 'dim_date', 6, count(*) FROM dim_date
 UNION ALL SELECT 'fact_sentiment', 11, count(*) FROM facts""")
