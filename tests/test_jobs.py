@@ -54,8 +54,7 @@ FIRST = [
 SECOND = [("bad movie", "z", "2024-01-08 00:00:00", 1), ("bad game", "q", "2024-01-09 00:00:00", 2)]
 
 
-@pytest.fixture
-def warehouse(spark):
+def first_load(spark):
     use_utc(spark)
     log = storage.fresh_dir(spark, "test-log")
     etl.write_log_batch(log_rows(spark, FIRST), log, 0)
@@ -64,6 +63,17 @@ def warehouse(spark):
     return target, log
 
 
+@pytest.fixture(scope="module")
+def loaded(spark):
+    """For tests that only read."""
+    return first_load(spark)[0]
+
+
+@pytest.fixture
+def warehouse(spark):
+    return first_load(spark)
+
+
 def counts(warehouse):
     return {t: warehouse.table(t).count() for t in ("dim_source", "dim_date", "dim_topic", "fact_sentiment")}
 
@@ -94,8 +104,8 @@ def test_repeated_text_is_cut_before_the_shuffle(spark):
     assert "row_number(), 1, Partial" in before_shuffle
 
 
-def test_load(warehouse):
-    target, _ = warehouse
+def test_load(loaded):
+    target = loaded
     assert counts(target) == {"dim_source": 2, "dim_date": 3, "dim_topic": 3, "fact_sentiment": 4}
     rows = {r.text: r for r in Star.of(target).joined().collect()}
     assert rows["bad game"].source_name == "x" and rows["bad game"].sentiment_class == "negative"
@@ -106,15 +116,11 @@ def test_load(warehouse):
     assert rows[""].word_count == 0 and rows[""].topic_name == "Other"
 
 
-def test_second_load_adds_nothing(spark, warehouse):
+def test_later_loads_add_only_new_messages(spark, warehouse):
     target, log = warehouse
     before = counts(target)
     etl.load(spark, log, target, by_word, "2024-03-01 00:00:00")
     assert counts(target) == before
-
-
-def test_new_batch_adds_only_new_messages(spark, warehouse):
-    target, log = warehouse
     etl.write_log_batch(log_rows(spark, SECOND), log, 1)
     etl.load(spark, log, target, by_word, RUN, since_batch=0)
     assert counts(target) == {"dim_source": 3, "dim_date": 4, "dim_topic": 4, "fact_sentiment": 5}
@@ -139,8 +145,8 @@ def test_rejected_rows_keep_their_value(spark):
     assert staging.read_rejected(spark, log).count() == 1
 
 
-def test_kpis(warehouse):
-    kpis = summary.kpis(summary.summarise(Star.of(warehouse[0]))).first()
+def test_kpis(loaded):
+    kpis = summary.kpis(summary.summarise(Star.of(loaded))).first()
     assert kpis.messages == 4 and kpis.positive_rate == 0.25 and kpis.negative_rate == 0.25
     assert kpis.avg_score == 1.0
     assert kpis.engagement == pytest.approx((4 + 2 + 3 + 0) / 4 + 3 * 2 / 4)
@@ -209,14 +215,21 @@ def test_newest_with_many_equal_times(spark, sf_dir):
 def test_load_recent(spark, sf_dir, monkeypatch):
     star = inputs.star(spark, sf_dir)
     want = star.joined().orderBy(*recent.newest_first()).limit(50).select("message_key").collect()
-    assert recent.load_recent(star, 50).select("message_key").collect() == want
-    monkeypatch.setattr(recent, "SMALL_LIMIT", 10)
-    monkeypatch.setattr(recent.newest, "__defaults__", (10,))
-    assert sorted(recent.load_recent(star, 50).select("message_key").collect()) == sorted(want)
-    assert recent.load_recent(star, None).count() == star.facts.count()
     missing = replace(star, sources=star.sources.where("source_name <> 'src1'"))
-    assert recent.load_recent(missing, 50).count() == 50
-    assert recent.load_recent(missing, 50).where("source_name = 'src1'").isEmpty()
+    for small in (10_000, 10):  # by sort, by counting
+        monkeypatch.setattr(recent.newest, "__defaults__", (small,))
+        assert recent.load_recent(star, 50).select("message_key").collect() == want
+        rest = recent.load_recent(missing, 50)
+        assert rest.count() == 50 and rest.where("source_name = 'src1'").isEmpty()
+    assert recent.load_recent(star, None).count() == star.facts.count()
+
+
+def test_reports_over_the_newest_rows(spark, sf_dir):
+    star = inputs.star(spark, sf_dir)
+    newest = star.joined().orderBy(*recent.newest_first()).limit(60)
+    want = {r.topic_name: r["count"] for r in newest.groupBy("topic_name").count().collect()}
+    top = summary.top_topics(summary.summarise(recent.limited(star, 60)))
+    assert {r.topic_name: r.messages for r in top.collect()} == want
 
 
 def test_adhoc_is_newest_first(spark, sf_dir):

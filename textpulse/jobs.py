@@ -79,8 +79,11 @@ def etl_job(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def page_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Overview and diagnostics, panel by panel."""
-    for name, panel in bi.page(_star(spark, args), args.grain, _criteria(args)).items():
+    """Overview and diagnostics, panel by panel, over all facts or the newest ones."""
+    star = _star(spark, args)
+    if args.limit:
+        star = recent.limited(star, args.limit)
+    for name, panel in bi.page(star, args.grain, _criteria(args)).items():
         print(name)
         show(panel)
 
@@ -145,9 +148,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--since-batch", type=int)
     sub.add_argument("--clean", choices=["train", "serve"], default="train")
 
-    criteria(job("page", page_job, "warehouse")).add_argument(
-        "--grain", choices=list(GRAINS), default="Hour"
-    )
+    sub = criteria(job("page", page_job, "warehouse"))
+    sub.add_argument("--grain", choices=list(GRAINS), default="Hour")
+    sub.add_argument("--limit", type=int)
     criteria(job("adhoc", adhoc_job, "warehouse")).add_argument(
         "--limit", type=int, default=rules.ADHOC_LIMIT
     )

@@ -11,7 +11,7 @@ from textpulse.functions import payload
 
 
 def table_stream(
-    spark: SparkSession, folder: str, name: str, schema: StructType | str, files_per_batch: int = 1
+    spark: SparkSession, folder: str, name: str, schema: StructType | str, files_per_batch: int = 1_000
 ) -> DataFrame:
     """Stream over a stored table: a folder of files, or a single file among others."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
