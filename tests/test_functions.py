@@ -1,6 +1,8 @@
 """Scalar functions: hand-made edge cases, and random texts against slow plain-Python checks."""
 
+import hashlib
 import random
+import uuid
 import zlib
 from datetime import date, datetime
 
@@ -165,8 +167,9 @@ def test_date_key(spark):
 def test_keys(spark):
     names = ["src0", "unknown", "AI & Tech", "Ünïcode"]
     assert column(spark, names, keys.surrogate_key("v")) == [zlib.crc32(n.encode()) for n in names]
-    ids = column(spark, names, keys.repeatable_uuid("v"))
-    assert all(len(i) == 36 and i.count("-") == 4 for i in ids) and len(set(ids)) == 4
+    ids = column(spark, names, keys.message_key("v"))
+    assert ids == [str(uuid.UUID(hashlib.sha256(n.encode()).hexdigest()[:32])) for n in names]
+    assert column(spark, [None], keys.message_key("v")) == [None]
     slots = column(spark, [f"t{i}" for i in range(5000)], keys.slot(keys.message_key("v"), 100))
     assert min(slots) == 0 and max(slots) == 99 and 20 < slots.count(7) < 90
 

@@ -178,12 +178,12 @@ def test_page_equals_single_reports(spark, sf_dir):
 
 def test_drill_down_equals_filter_on_names(spark, sf_dir):
     star = inputs.star(spark, sf_dir)
-    everything = star.joined().select("message_key", "source_name", "topic_name")
+    everything = star.joined().select("fact_id", "source_name", "topic_name")
     for source, topic in ((None, None), ("src2", None), (None, "Other"), ("src2", "Other"), ("nobody", None)):
         want = everything
         want = want.where(F.col("source_name") == source) if source else want
         want = want.where(F.col("topic_name") == topic) if topic else want
-        got = star.joined(drill_down(source, topic)).select("message_key", "source_name", "topic_name")
+        got = star.joined(drill_down(source, topic)).select("fact_id", "source_name", "topic_name")
         assert sorted(got.collect()) == sorted(want.collect())
 
 
@@ -197,8 +197,8 @@ def test_hostile_criteria_are_values(spark, sf_dir):
 @pytest.mark.parametrize("n", [0, 1, 2, 37, 187, 188, 5000])
 def test_newest_by_counting_equals_sort(spark, sf_dir, n):
     facts = inputs.star(spark, sf_dir).facts
-    got = recent.newest(facts, n, small=-1).select("message_key").collect()
-    want = facts.orderBy(*recent.newest_first()).limit(n).select("message_key").collect()
+    got = recent.newest(facts, n, small=-1).select("fact_id").collect()
+    want = facts.orderBy(*recent.newest_first()).limit(n).select("fact_id").collect()
     assert sorted(got) == sorted(want)
 
 
@@ -207,18 +207,18 @@ def test_newest_with_many_equal_times(spark, sf_dir):
     facts = inputs.star(spark, sf_dir).facts
     same = facts.withColumn("created_at", F.lit(RUN).cast("timestamp")).withColumn("date_id", F.lit(20240201))
     for n in (3, 100):
-        got = recent.newest(same, n, small=-1).select("message_key").collect()
-        want = same.orderBy("message_key").limit(n).select("message_key").collect()
+        got = recent.newest(same, n, small=-1).select("fact_id").collect()
+        want = same.orderBy("fact_id").limit(n).select("fact_id").collect()
         assert sorted(got) == sorted(want)
 
 
 def test_load_recent(spark, sf_dir, monkeypatch):
     star = inputs.star(spark, sf_dir)
-    want = star.joined().orderBy(*recent.newest_first()).limit(50).select("message_key").collect()
+    want = star.joined().orderBy(*recent.newest_first()).limit(50).select("fact_id").collect()
     missing = replace(star, sources=star.sources.where("source_name <> 'src1'"))
     for small in (10_000, 10):  # by sort, by counting
         monkeypatch.setattr(recent.newest, "__defaults__", (small,))
-        assert recent.load_recent(star, 50).select("message_key").collect() == want
+        assert recent.load_recent(star, 50).select("fact_id").collect() == want
         rest = recent.load_recent(missing, 50)
         assert rest.count() == 50 and rest.where("source_name = 'src1'").isEmpty()
     assert recent.load_recent(star, None).count() == star.facts.count()

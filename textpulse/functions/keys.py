@@ -12,17 +12,15 @@ def surrogate_key(name: Column | str) -> Column:
 
 
 def message_key(text: Column | str) -> Column:
-    """Identity of a message. Fixed width, so grouping and joining on it never moves texts as keys."""
-    return F.sha2(text, 256)
-
-
-def repeatable_uuid(text: Column | str) -> Column:
-    """UUID-shaped id from the text: a task that runs again yields the same id."""
-    return F.regexp_replace(F.md5(text), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
-
-
-def random_uuid() -> Column:
-    return F.expr("uuid()")
+    """Identity of a message: the first 128 bits of its text's SHA-256, shaped as a UUID.
+
+    Fixed width, so grouping, joining and sorting never use texts as keys; and repeatable, so a load
+    or a task that runs again yields the same ids.
+    """
+    digest = F.sha2(text, 256)
+    places = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    parts = F.concat_ws("-", *[F.substring(digest, start, size) for start, size in places])
+    return F.when(digest.isNotNull(), parts)
 
 
 def slot(key: Column | str, slots: int) -> Column:

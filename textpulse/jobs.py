@@ -95,7 +95,7 @@ def adhoc_job(spark: SparkSession, args: argparse.Namespace) -> None:
 def recent_job(spark: SparkSession, args: argparse.Namespace) -> None:
     """The newest joined rows, written as Parquet."""
     rows = recent.load_recent(_star(spark, args), args.limit, _criteria(args))
-    rows.drop("message_key").write.parquet(args.output)
+    rows.drop("fact_id").write.parquet(args.output)
 
 
 def values_job(spark: SparkSession, args: argparse.Namespace) -> None:

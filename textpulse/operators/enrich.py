@@ -52,11 +52,10 @@ def sentiment_score() -> Column:
     return F.lit(1.0).cast("float")
 
 
-def to_facts(scored: DataFrame, random_ids: bool = False) -> DataFrame:
-    """The fact columns, plus ``message_key``. Repeatable ids keep reruns and retries identical."""
+def to_facts(scored: DataFrame) -> DataFrame:
+    """The fact columns. The message's key is the fact's id, so reloads and retries are identical."""
     return scored.select(
-        (keys.random_uuid() if random_ids else keys.repeatable_uuid("raw_text")).alias("fact_id"),
-        "message_key",
+        F.col("message_key").alias("fact_id"),
         keys.surrogate_key("source").alias("source_id"),
         keys.surrogate_key("topic_name").alias("topic_id"),
         F.col("raw_text").alias("text"),

@@ -104,7 +104,7 @@ class Star:
             "hashtags_count",
             "source_name",
             "topic_name",
-            "message_key",
+            "fact_id",
         )
 
     def with_calendar(self, rows: DataFrame) -> DataFrame:

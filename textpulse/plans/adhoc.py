@@ -14,13 +14,13 @@ DEFAULT_SQL = "SELECT count(*) AS row_count FROM fact_sentiment"
 def adhoc_rows(star: Star, criteria: Criteria) -> DataFrame:
     return star.joined(criteria).select(
         "created_at", "source_name", "topic_name", "sentiment_class", "sentiment_score", "text",
-        "message_key",
+        "fact_id",
     )
 
 
 def adhoc(star: Star, criteria: Criteria, limit: int = rules.ADHOC_LIMIT) -> DataFrame:
     """Newest rows that meet all criteria."""
-    return newest(adhoc_rows(star, criteria), limit).drop("message_key")
+    return newest(adhoc_rows(star, criteria), limit).drop("fact_id")
 
 
 def raw_sql(star: Star, statement: str = DEFAULT_SQL) -> DataFrame:

@@ -54,7 +54,8 @@ def load(
     warehouse.create()
     log = staging.read_log(spark, log_path, since_batch)
     current = staging.current_messages(log)
-    fresh = not_yet_in(current, warehouse.facts, "message_key", log)
+    loaded = warehouse.facts.select(F.col("fact_id").alias("message_key"))
+    fresh = not_yet_in(current, loaded, "message_key", log)
     scratch = storage.fresh_dir(spark, "load")
     try:
         prepared = storage.materialize(

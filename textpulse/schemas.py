@@ -41,9 +41,9 @@ DIM_DATE = _struct(
 )
 DIM_TOPIC = _struct(topic_id=_LONG, topic_name=_STRING, load_dt=_TIME)
 
-# ``date_id`` is the partition folder. ``message_key`` makes reloads add nothing.
+# ``date_id`` is the partition folder. ``fact_id`` is the message key, so reloads add nothing.
 FACT = _struct(
-    fact_id=_STRING, message_key=_STRING, source_id=_LONG, topic_id=_LONG, text=_STRING,
+    fact_id=_STRING, source_id=_LONG, topic_id=_LONG, text=_STRING,
     sentiment_class=_STRING, sentiment_score=FloatType(), word_count=_INT, hashtags_count=_INT,
     created_at=_TIME, date_id=_LONG,
 )

@@ -18,7 +18,7 @@ _ADHOC = "created_at, source_name, topic_name, sentiment_class, sentiment_score,
 _COUNTS = ", ".join(
     f"count(*) FILTER (sentiment_class = '{c}') AS {c}" for c in ("negative", "positive", "neutral")
 )
-_NEWEST = "ORDER BY created_at DESC, message_key"
+_NEWEST = "ORDER BY created_at DESC, fact_id"
 
 
 def _facts(tail: str) -> str:
@@ -32,7 +32,7 @@ SELECT f.sentiment_class, f.sentiment_score, f.created_at, f.text, f.word_count,
   s.source_name, t.topic_name
 FROM facts f JOIN dim_source s ON f.source_id = s.source_id JOIN dim_topic t ON f.topic_id = t.topic_id""")
 def join_star(spark, sf_dir):
-    return inputs.star(spark, sf_dir).joined().drop("message_key")
+    return inputs.star(spark, sf_dir).joined().drop("fact_id")
 
 
 @register("join_star_adhoc", f"""WITH {sql.FACTS}, {sql.DIMS}
@@ -41,7 +41,7 @@ FROM facts f JOIN dim_source s ON f.source_id = s.source_id JOIN dim_topic t ON
 WHERE f.sentiment_class <> 'neutral'""")
 def join_star_adhoc(spark, sf_dir):
     criteria = Criteria(sentiments=("negative", "positive"))
-    return adhoc.adhoc_rows(inputs.star(spark, sf_dir), criteria).drop("message_key")
+    return adhoc.adhoc_rows(inputs.star(spark, sf_dir), criteria).drop("fact_id")
 
 
 @register("join_dim_date", f"""WITH {sql.FACTS}, {sql.DIMS}
@@ -58,23 +58,23 @@ def join_dim_date(spark, sf_dir):
 WHERE source_name = 'src3' AND topic_name = 'AI & Tech'"""))
 def filter_drilldown(spark, sf_dir):
     criteria = drill_down(source="src3", topic="AI & Tech")
-    return inputs.star(spark, sf_dir).joined(criteria).drop("message_key")
+    return inputs.star(spark, sf_dir).joined(criteria).drop("fact_id")
 
 
 @register("filter_negative", _facts(f"SELECT {_JOINED} FROM facts WHERE sentiment_class = 'negative'"))
 def filter_negative(spark, sf_dir):
     criteria = Criteria(sentiments=("negative",))
-    return inputs.star(spark, sf_dir).joined(criteria).drop("message_key")
+    return inputs.star(spark, sf_dir).joined(criteria).drop("fact_id")
 
 
-@register("filter_date_range", _facts("""SELECT message_key, created_at FROM facts
+@register("filter_date_range", _facts("""SELECT fact_id, created_at FROM facts
 WHERE created_at BETWEEN '2024-01-03 00:00:00' AND '2024-01-10 23:59:59'"""))
 def filter_date_range(spark, sf_dir):
     criteria = Criteria(days=(date(2024, 1, 3), date(2024, 1, 10)))
-    return inputs.star(spark, sf_dir).narrowed(criteria).select("message_key", "created_at")
+    return inputs.star(spark, sf_dir).narrowed(criteria).select("fact_id", "created_at")
 
 
-@register("filter_in_list", _facts("""SELECT message_key, source_name, topic_name, sentiment_class FROM facts
+@register("filter_in_list", _facts("""SELECT fact_id, source_name, topic_name, sentiment_class FROM facts
 WHERE source_name IN ('src1', 'src2', 'unknown') AND sentiment_class IN ('positive', 'neutral')
   AND topic_name IN ('Crypto', 'Gaming', 'Other')"""))
 def filter_in_list(spark, sf_dir):
@@ -84,13 +84,13 @@ def filter_in_list(spark, sf_dir):
         topics=("Crypto", "Gaming", "Other"),
     )
     joined = inputs.star(spark, sf_dir).joined(criteria)
-    return joined.select("message_key", "source_name", "topic_name", "sentiment_class")
+    return joined.select("fact_id", "source_name", "topic_name", "sentiment_class")
 
 
-@register("filter_ilike", _facts("SELECT message_key, text FROM facts WHERE text ILIKE '%BitCoin W%'"))
+@register("filter_ilike", _facts("SELECT fact_id, text FROM facts WHERE text ILIKE '%BitCoin W%'"))
 def filter_ilike(spark, sf_dir):
     criteria = Criteria(keyword="BitCoin W")
-    return inputs.star(spark, sf_dir).narrowed(criteria).select("message_key", "text")
+    return inputs.star(spark, sf_dir).narrowed(criteria).select("fact_id", "text")
 
 
 _CRITERIA = Criteria(
@@ -177,7 +177,7 @@ def rollup_calendar(spark, sf_dir):
 
 @register("load_recent", _facts(f"SELECT {_JOINED} FROM facts {_NEWEST} LIMIT {rules.LOAD_LIMIT}"))
 def load_recent(spark, sf_dir):
-    return recent.load_recent(inputs.star(spark, sf_dir)).drop("message_key")
+    return recent.load_recent(inputs.star(spark, sf_dir)).drop("fact_id")
 
 
 @register("adhoc_latest", _facts(f"SELECT {_ADHOC} FROM facts {_NEWEST} LIMIT {rules.ADHOC_LIMIT}"))

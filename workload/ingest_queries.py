@@ -32,7 +32,7 @@ def src_decode_value(spark, sf_dir):
 
 
 @register("src_staging_scan", f"""WITH {sql.RAW}
-SELECT doc_id % 4 AS batch_id, doc_id AS arrival, sha256(text) AS message_key, source, created_at
+SELECT doc_id % 4 AS batch_id, doc_id AS arrival, {sql.message_key('text')} AS message_key, source, created_at
 FROM raw WHERE text IS NOT NULL""")
 def src_staging_scan(spark, sf_dir):
     log = staging.read_log(spark, inputs.staging_log(spark, sf_dir))
@@ -196,7 +196,7 @@ def sink_default_load_dt(spark, sf_dir):
 SELECT 'dim_source' AS table_name, 4::BIGINT AS n_columns, count(*) AS row_count FROM dim_source
 UNION ALL SELECT 'dim_topic', 3, count(*) FROM dim_topic
 UNION ALL SELECT 'dim_date', 6, count(*) FROM dim_date
-UNION ALL SELECT 'fact_sentiment', 11, count(*) FROM facts""")
+UNION ALL SELECT 'fact_sentiment', 10, count(*) FROM facts""")
 def ddl_star_schema(spark, sf_dir):
     warehouse = inputs.warehouse(spark, sf_dir)
     counts = [
@@ -249,7 +249,7 @@ def src_kafka_messages(spark, sf_dir):
 
 
 @register("sink_stream_staging", f"""WITH {_DECODED}
-SELECT sha256(text) AS message_key, source, created_at, text FROM decoded WHERE text IS NOT NULL""")
+SELECT {sql.message_key('text')} AS message_key, source, created_at, text FROM decoded WHERE text IS NOT NULL""")
 def sink_stream_staging(spark, sf_dir):
     log = staging.read_log(spark, inputs.drained_log(spark, sf_dir))
     return log.select("message_key", "source", "created_at", "text")
@@ -270,7 +270,7 @@ def stream_ingest(spark, sf_dir):
 
 
 @register("stream_dedupe_staging", f"""WITH {sql.RAW}
-SELECT sha256(text) AS message_key, max(doc_id % 2) AS last_wave FROM raw
+SELECT {sql.message_key('text')} AS message_key, max(doc_id % 2) AS last_wave FROM raw
 WHERE text IS NOT NULL GROUP BY text""")
 def stream_dedupe_staging(spark, sf_dir):
     """Two waves of messages through one checkpoint: the second overwrites texts of the first."""
@@ -327,7 +327,7 @@ def stream_replay(spark, sf_dir):
 # Jobs
 
 @register("job_ingest", f"""WITH {_DECODED}
-SELECT DISTINCT sha256(text) AS message_key, text AS id FROM decoded WHERE text IS NOT NULL""")
+SELECT DISTINCT {sql.message_key('text')} AS message_key, text AS id FROM decoded WHERE text IS NOT NULL""")
 def job_ingest(spark, sf_dir):
     """Topic to staging to current messages, from scratch."""
     log = storage.fresh_dir(spark, "log")
@@ -338,7 +338,7 @@ def job_ingest(spark, sf_dir):
 
 
 @register("job_etl", f"""WITH {sql.FACTS}
-SELECT fact_id, message_key, source_id, topic_id, text, sentiment_class, sentiment_score, word_count,
+SELECT fact_id, source_id, topic_id, text, sentiment_class, sentiment_score, word_count,
   hashtags_count, created_at, date_id FROM facts""")
 def job_etl(spark, sf_dir):
     """A whole load into an empty warehouse; returns its facts."""

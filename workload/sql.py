@@ -56,9 +56,9 @@ def contains_any(text: str) -> str:
     return "(" + " OR ".join(f"contains({text}, '{w}')" for w in rules.WATCH_LIST) + ")"
 
 
-def uuid_of(text: str) -> str:
+def message_key(text: str) -> str:
     return (
-        f"regexp_replace(md5({text}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$',"
+        f"regexp_replace(sha256({text}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}}).*$',"
         r" '\1-\2-\3-\4-\5')"
     )
 
@@ -106,7 +106,7 @@ CLASSES = """classes AS (
 
 LATEST = f"""{RAW},
 latest AS (
-  SELECT sha256(text) AS message_key, text AS id, doc_id % 4 AS batch_id, doc_id AS arrival,
+  SELECT {message_key('text')} AS message_key, text AS id, doc_id % 4 AS batch_id, doc_id AS arrival,
     source, created_at, text
   FROM raw WHERE text IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id % 4 DESC, doc_id DESC) = 1)"""
@@ -131,7 +131,7 @@ scored AS (
   SELECT p.*, coalesce(c.prediction, 2.0) AS prediction
   FROM prepared p LEFT JOIN classes c ON p.arrival = c.doc_id),
 facts AS (
-  SELECT {uuid_of('raw_text')} AS fact_id, message_key, {crc32('source')} AS source_id,
+  SELECT message_key AS fact_id, {crc32('source')} AS source_id,
     {crc32('topic_name')} AS topic_id, raw_text AS text, {SENTIMENT} AS sentiment_class,
     1.0::DOUBLE AS sentiment_score, word_count, hashtags_count, created_ts AS created_at,
     {date_key('created_ts')} AS date_id, source AS source_name, topic_name

@@ -35,7 +35,7 @@ def proj_preprocess(spark, sf_dir):
 
 
 @register("proj_fact", f"""WITH {sql.FACTS}
-SELECT fact_id, message_key, source_id, topic_id, text, sentiment_class, sentiment_score, word_count,
+SELECT fact_id, source_id, topic_id, text, sentiment_class, sentiment_score, word_count,
   hashtags_count, created_at, date_id FROM facts""")
 def proj_fact(spark, sf_dir):
     return enrich.to_facts(_scored(spark, sf_dir))
@@ -250,10 +250,10 @@ def surrogate_key(spark, sf_dir):
 
 
 @register("fact_uuid", f"""WITH {sql.RAW}
-SELECT doc_id, {sql.uuid_of('text')} AS fact_id FROM raw WHERE text IS NOT NULL""")
+SELECT doc_id, {sql.message_key('text')} AS fact_id FROM raw WHERE text IS NOT NULL""")
 def fact_uuid(spark, sf_dir):
     rows = inputs.raw_messages(spark, sf_dir).where(F.col("text").isNotNull())
-    return rows.select("doc_id", keys.repeatable_uuid("text").alias("fact_id"))
+    return rows.select("doc_id", keys.message_key("text").alias("fact_id"))
 
 
 @register("hash_sample", f"""WITH {sql.RAW}
