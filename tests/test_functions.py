@@ -177,13 +177,14 @@ def test_keys(spark):
 def test_json_round_trip(spark):
     rows = [("s", 'quote " slash / \\ line\n tab\t é  ', "t"), (None, None, None), ("", "", "")]
     messages = spark.createDataFrame(rows, "source string, text string, created_at string")
-    decoded = messages.select(payload.encode_message().alias("v")).select(payload.decode_message("v").alias("d"))
-    assert [tuple(r) for r in decoded.select("d.*").collect()] == rows
+    decoded = messages.select(payload.encode_message().alias("v")).select(payload.decode("v"))
+    assert [tuple(r) for r in decoded.collect()] == rows
 
 
 def test_bad_json_gives_nulls(spark):
-    decoded = column(spark, ["not json", "{", "[]", None, '{"text": 5}'], payload.decode_message("v")["text"])
-    assert decoded[:4] == [None] * 4 and decoded[4] == "5"
+    values = [("not json",), ("{",), ("[]",), (None,), ('{"text": 5}',)]
+    decoded = spark.createDataFrame(values, "v string").select("v", payload.decode("v")).collect()
+    assert {r.v: r.text for r in decoded} == {**{v[0]: None for v in values[:4]}, '{"text": 5}': "5"}
 
 
 def test_within_days_is_whole_days(spark):

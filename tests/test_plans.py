@@ -37,6 +37,11 @@ def test_choice_of_source_reaches_the_fact_scan(spark, sf_dir):
     assert "EqualTo(source_id," in fact_scan
 
 
+def test_json_is_parsed_once(spark, sf_dir):
+    for key in ("src_wiki_changes", "filter_watchlist", "sink_publish_messages"):
+        assert plan_of(queries()[key](spark, sf_dir)).count("from_json(") == 1
+
+
 def test_reports_read_only_their_columns(spark, sf_dir):
     report = summary.top_topics(summary.summarise(inputs.star(spark, sf_dir)))
     schemas = [part.split(">")[0] for part in plan_of(report).split("ReadSchema: struct<")[1:]]

@@ -11,16 +11,19 @@ def surrogate_key(name: Column | str) -> Column:
     return F.crc32(name)
 
 
+def digest(text: Column | str) -> Column:
+    return F.sha2(text, 256)
+
+
 def message_key(text: Column | str) -> Column:
     """Identity of a message: the first 128 bits of its text's SHA-256, shaped as a UUID.
 
     Fixed width, so grouping, joining and sorting never use texts as keys; and repeatable, so a load
     or a task that runs again yields the same ids.
     """
-    digest = F.sha2(text, 256)
     places = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    parts = F.concat_ws("-", *[F.substring(digest, start, size) for start, size in places])
-    return F.when(digest.isNotNull(), parts)
+    first, *rest = [F.substring(digest(text), start, size) for start, size in places]
+    return F.concat(first, *[part for chunk in rest for part in (F.lit("-"), chunk)])
 
 
 def slot(key: Column | str, slots: int) -> Column:

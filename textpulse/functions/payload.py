@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from textpulse import schemas
 
@@ -13,6 +14,10 @@ def encode_message(source: str = "source", text: str = "text", created_at: str =
     return F.to_json(F.struct(*parts))
 
 
-def decode_message(value: Column | str) -> Column:
-    """Bad JSON gives a struct of nulls."""
-    return F.from_json(F.col(value) if isinstance(value, str) else value, schemas.MESSAGE)
+def decode(value: Column | str, schema: StructType = schemas.MESSAGE) -> Column:
+    """The fields of a JSON object as columns; bad JSON gives nulls.
+
+    A generator, because filters on its columns stay above it. On a plain projection Spark pushes
+    them down with a copy of the parsing for every field they test.
+    """
+    return F.inline(F.array(F.from_json(value, schema)))

@@ -100,9 +100,13 @@ def lowered_pair(left: Column | str, right: Column | str) -> Column:
 
 def contains_any(haystack: Column | str, needles: Sequence[str] = rules.WATCH_LIST) -> Column:
     """Substring test (not word-bounded); plain byte search beats one regex alternation 4 to 1.
-    Short needles go first: they are the likeliest to end the search."""
-    haystack = _column(haystack)
-    return reduce(or_, [F.contains(haystack, F.lit(n)) for n in sorted(needles, key=len)])
+    Short needles go first: they are the likeliest to end the search. The one-element array binds
+    the haystack, which a filter would otherwise work out again for every needle."""
+
+    def found(bound: Column) -> Column:
+        return reduce(or_, [F.contains(bound, F.lit(n)) for n in sorted(needles, key=len)])
+
+    return F.exists(F.array(_column(haystack)), found)
 
 
 def contains_ignoring_case(text: Column | str, keyword: str) -> Column:

@@ -33,7 +33,7 @@ def labelled(rows: DataFrame) -> DataFrame:
     return usable(rows).select(
         text.clean_for_training("text").alias("clean_text"),
         label_of("sentiment").alias("label"),
-        keys.message_key("text").alias("split_key"),
+        keys.digest("text").alias("split_key"),
     )
 
 

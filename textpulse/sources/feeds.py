@@ -8,13 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textpulse import rules, schemas
-from textpulse.functions import dates, text
+from textpulse.functions import dates, payload, text
 
 
 def parse_changes(events: DataFrame, value: str = "value") -> DataFrame:
-    return events.select("*", F.from_json(value, schemas.WIKI_CHANGE).alias("change")).select(
-        *events.columns, "change.*"
-    )
+    return events.select("*", payload.decode(value, schemas.WIKI_CHANGE))
 
 
 def is_english_edit() -> Column:

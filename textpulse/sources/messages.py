@@ -36,9 +36,7 @@ def file_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
 def decode(records: DataFrame) -> DataFrame:
     """Adds the message's columns, its id (the text) and the hash of the id."""
     return (
-        records.withColumn("data", payload.decode_message("value"))
-        .select("*", "data.*")
-        .drop("data")
+        records.select("*", payload.decode("value"))
         .withColumn("id", F.col("text"))
         .withColumn("message_key", message_key("text"))
     )

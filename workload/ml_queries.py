@@ -60,7 +60,7 @@ def metrics_multiclass(spark, sf_dir):
 SELECT id, CASE WHEN {sql.slot('sha256(text)', 100)} < 80 THEN 'train' ELSE 'test' END AS part FROM usable""")
 def random_split(spark, sf_dir):
     rows = training.usable(inputs.training_set(spark, sf_dir)).select(
-        "id", training.keys.message_key("text").alias("split_key")
+        "id", training.keys.digest("text").alias("split_key")
     )
     first, second = training.split(rows)
     return first.select("id", F.lit("train").alias("part")).unionByName(

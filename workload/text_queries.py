@@ -259,7 +259,7 @@ def fact_uuid(spark, sf_dir):
 @register("hash_sample", f"""WITH {sql.RAW}
 SELECT doc_id, text FROM raw WHERE {sql.slot('sha256(text)', rules.SAMPLE_ONE_IN)} = 0""")
 def hash_sample(spark, sf_dir):
-    sampled = keys.slot(keys.message_key("text"), rules.SAMPLE_ONE_IN) == 0
+    sampled = keys.slot(keys.digest("text"), rules.SAMPLE_ONE_IN) == 0
     return inputs.raw_messages(spark, sf_dir).select("doc_id", "text").where(sampled)
 
 
