@@ -31,7 +31,7 @@ def current_messages(log: DataFrame) -> DataFrame:
     last_first = Window.partitionBy("message_key").orderBy(
         F.desc("batch_id"), F.desc("arrival"), "source", "created_at"
     )
-    ranked = log.where(F.col("message_key").isNotNull()).withColumn(
+    ranked = log.where(F.col("text").isNotNull()).withColumn(
         "place", F.row_number().over(last_first)
     )
     return ranked.where(F.col("place") == 1).select(

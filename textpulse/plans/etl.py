@@ -79,6 +79,6 @@ def write_log_batch(messages: DataFrame, log_path: str, batch_id: int) -> None:
     """One batch folder of the staging log, for batch loads. A retry replaces the same folder."""
     rows = messages.withColumn(
         "kind",
-        F.when(F.col("message_key").isNull(), staging.REJECTED).otherwise(staging.MESSAGE),
+        F.when(F.col("text").isNull(), staging.REJECTED).otherwise(staging.MESSAGE),
     )
     rows.write.mode("overwrite").partitionBy("kind").parquet(f"{log_path}/batch_id={batch_id}")

@@ -13,7 +13,7 @@ from textpulse.sources.messages import decode
 def stage_batch(records: DataFrame, log_path: str, batch_id: int) -> None:
     """One micro-batch, one pass, one folder: accepted messages and, with their raw value, the
     unreadable ones. A replayed batch replaces its own folder, so nothing doubles."""
-    accepted = F.col("message_key").isNotNull()
+    accepted = F.col("text").isNotNull()
     rows = decode(records).select(
         "message_key",
         "source",

@@ -155,7 +155,7 @@ def _once(spark: SparkSession, sf_dir: str, label: str, write) -> str:
 def staging_log(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         rows = staged(spark, sf_dir)
-        kind = F.when(F.col("message_key").isNull(), "rejected").otherwise("message")
+        kind = F.when(F.col("text").isNull(), "rejected").otherwise("message")
         rows.withColumn("kind", kind).write.partitionBy("batch_id", "kind").parquet(path)
 
     return _once(spark, sf_dir, "log", write)
