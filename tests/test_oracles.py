@@ -1,5 +1,9 @@
 """Every registered query against its SQL on the smallest data set; the rest must give rows."""
 
+import pathlib
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -36,3 +40,14 @@ def test_every_oracle_has_a_query():
 def test_entry(spark):
     assert entry(spark).columns == ["bucket", "negative", "positive", "neutral"]
     assert entry(spark).count() > 0
+
+
+def test_import_needs_no_spark_jars_and_no_session(tmp_path):
+    """The registry loads where Spark's jars are not beside its Python package."""
+    code = (
+        "import pyspark, sys; pyspark.__file__ = sys.argv[1] + '/pyspark/__init__.py'\n"
+        "import __spark_entry__ as e; from pyspark.sql import SparkSession\n"
+        "assert len(e.oracle_sql()) > 90 and SparkSession.getActiveSession() is None"
+    )
+    root = pathlib.Path(__file__).resolve().parent.parent
+    subprocess.run([sys.executable, "-c", code, str(tmp_path)], cwd=root, check=True, timeout=120)

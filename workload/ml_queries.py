@@ -68,7 +68,7 @@ def random_split(spark, sf_dir):
     )
 
 
-@register("ml_hashing_tf", rf"""WITH {sql.TRAINING},
+@register("ml_hashing_tf", lambda: rf"""WITH {sql.TRAINING},
 split AS (SELECT {sql.LABEL} AS label, list_filter(regexp_split_to_array({sql.clean_for_training('text')}, '\s+'),
   lambda t: length(t) >= 1 AND NOT list_contains([{sql.quoted(sql.stop_words())}], t)) AS tokens FROM usable)
 SELECT label, count(*) AS row_count, sum(len(tokens))::DOUBLE AS total_terms FROM split GROUP BY label""")

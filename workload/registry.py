@@ -13,7 +13,7 @@ from textpulse.session import use_utc
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str | Callable[[], str]] = {}
 DIGITS = 6
 
 
@@ -36,7 +36,12 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[cast(f.name, f.dataType) for f in df.schema.fields])
 
 
-def register(key: str, oracle: str | None = None) -> Callable[[Query], Query]:
+def oracles() -> dict[str, str]:
+    """The check queries; those given as functions are made here, never while importing."""
+    return {key: sql if isinstance(sql, str) else sql() for key, sql in ORACLES.items()}
+
+
+def register(key: str, oracle: str | Callable[[], str] | None = None) -> Callable[[Query], Query]:
     def add(query: Query) -> Query:
         if key in QUERIES:
             raise ValueError(f"query {key} is registered twice")

@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import functools
 import pathlib
-import zipfile
-
-import pyspark
 
 from textpulse import rules
 
@@ -78,12 +75,9 @@ def bucket(ts: str, grain: str) -> str:
 
 @functools.cache
 def stop_words() -> list[str]:
-    """Spark's default English list, from its own jar."""
-    jars = pathlib.Path(pyspark.__file__).parent / "jars"
-    jar = next(j for j in jars.glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as archive:
-        name = "org/apache/spark/ml/feature/stopwords/english.txt"
-        return archive.read(name).decode("utf-8").split("\n")
+    """Spark's default English list, held as text beside this module."""
+    lines = (pathlib.Path(__file__).parent / "stop_words.txt").read_text(encoding="utf-8").split("\n")
+    return lines[1:]
 
 
 RAW = """raw AS (

@@ -188,7 +188,7 @@ def tokenize(spark, sf_dir):
     )
 
 
-@register("remove_stopwords", f"""WITH {sql.TRAINING},
+@register("remove_stopwords", lambda: f"""WITH {sql.TRAINING},
 split AS (SELECT id, list_filter({_TOKENS},
   lambda t: NOT list_contains([{sql.quoted(sql.stop_words())}], t)) AS tokens FROM usable)
 SELECT id, array_to_string(tokens, ' ') AS tokens, len(tokens)::BIGINT AS n_tokens FROM split""")
