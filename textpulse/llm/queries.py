@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textpulse.llm import imatch, licenses, mixing, pieces, quotes, sharding, simhash
+import corpus_pipeline
+from textpulse.llm import imatch, licenses, mixing, neighbours, passages, pieces, quotes, repeats, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +30,15 @@ _register("op5_block_mixing", "documents", mixing.mix_report)
 _register("op7_license_sentences", "documents", licenses.scan)
 _register("op4_sentencepiece_agenda", "documents", pieces.digests)
 _register("op9_imatch_lexicons", "documents", imatch.edited_report)
+_register("op6_prefix_free_repeats", "documents", repeats.removal_report)
+
+
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES["op10_attention_quality"] = _quality
+_register("op8_nn_descent", "embeddings", neighbours.near_duplicates)
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
