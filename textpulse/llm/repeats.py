@@ -138,7 +138,7 @@ class _Texts:
     """Ids, tags and parts of the texts that messages refer to by number."""
 
     def __init__(self, ids=(), tags=(), parts=()):
-        self.ids, self.tags, self.parts = np.array(ids, np.int64), np.array(tags, np.uint32), np.array(parts, np.int32)
+        self.ids, self.tags, self.parts = np.array(ids, np.int64), np.array(tags, np.uint32), np.array(parts, np.int64)
 
     @staticmethod
     def of(messages: list[dict]) -> tuple[_Texts, list[int]]:
@@ -147,7 +147,7 @@ class _Texts:
             base.append(base[-1] + len(m["ids"]) // 8)
         out.ids = np.frombuffer(b"".join(m["ids"] for m in messages), np.int64)
         out.tags = np.frombuffer(b"".join(m["tags"] for m in messages), np.uint32)
-        out.parts = np.frombuffer(b"".join(m["parts"] for m in messages), np.int32)
+        out.parts = np.frombuffer(b"".join(m["parts"] for m in messages), np.int64)
         return out, base
 
     def message(self, bucket: int, kind: int, ref: np.ndarray, lo: np.ndarray, size=None, key=None, rest=b"") -> dict:
@@ -302,7 +302,7 @@ def _dictionary(table: pa.Table) -> pa.Table:
     """Entries of a bucket to messages for the parts: phrases whose first document is an earlier one are DONE;
     of the others those whose trigger has several phrases, from several documents, are EDGE or LOOSE."""
     messages = table.to_pylist()
-    out = [{**m, "bucket": int(np.frombuffer(m["parts"], np.int32)[0])} for m in messages if m["kind"] != ENTRY]
+    out = [{**m, "bucket": int(np.frombuffer(m["parts"], np.int64)[0])} for m in messages if m["kind"] != ENTRY]
     texts, ref, lo, size, key, _ = _read(messages, ENTRY, np.uint8, _PHRASE_KEY)
     if not len(ref):
         return _table(out)
@@ -457,7 +457,7 @@ def _string_keys(matrix: np.ndarray) -> np.ndarray:
 def _resolve(table: pa.Table) -> pa.Table:
     """Suffix arrays of a bucket's phrases: a string is DONE where its run begins in an earlier document."""
     rows = table.to_pylist()
-    out = [{**m, "bucket": int(np.frombuffer(m["parts"], np.int32)[0])} for m in rows if m["kind"] == DONE]
+    out = [{**m, "bucket": int(np.frombuffer(m["parts"], np.int64)[0])} for m in rows if m["kind"] == DONE]
     texts, ref, lo, size, _, octets = _read(rows, EDGE, np.uint8, with_rest=True)
     found = []
     if len(ref):
@@ -516,7 +516,7 @@ def _spread(docs: DataFrame, schema: StructType) -> DataFrame:
     names = schema.names
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // max(LEAST_PART, min(MOST_PART, total // PARTS))))
-    rows = docs.withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int"))
+    rows = docs.withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("bigint"))
     parsed = rows.select("doc_id", "text", "_part").mapInArrow(_parse(parts), _MESSAGE_SQL)
     settled = parsed.groupBy("bucket").applyInArrow(_dictionary, _MESSAGE_SQL)
     by_part = rows.groupBy("_part")
