@@ -25,8 +25,8 @@ LENGTH = 50
 TRIGGER = 16
 SPAN = LENGTH - TRIGGER + 1
 # A part of the corpus, and a bucket of its phrases, has about this much text.
-LEAST_PART, MOST_PART, PARTS = 4 << 20, 24 << 20, 200
-_BUFFER = 4 << 20
+LEAST_PART, MOST_PART, PARTS = 4 << 20, 24 << 20, 64
+_BUFFER = 2 << 20
 _FLUSH = 16 << 20
 # A trigger with more phrases than this in one task, or in all, has its strings dealt out one by one.
 HOT_IN_TASK, HOT = 256, 4_096
@@ -134,6 +134,19 @@ def _joined(lo: np.ndarray, size: np.ndarray, ref: np.ndarray) -> tuple[np.ndarr
     return lo[at], ends - lo[at], ref[at]
 
 
+def _packed(values: np.ndarray, kind: str) -> bytes:
+    """Bytes of the numbers, all first bytes first, then all second ones: high bytes, mostly zero, compress away."""
+    values = np.ascontiguousarray(values, kind)
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _unpacked(data: list[bytes], kind: str) -> np.ndarray:
+    """The numbers of all messages, end to end."""
+    wide = np.dtype(kind).itemsize
+    parts = [np.frombuffer(d, np.uint8).reshape(wide, -1).T for d in data if d]
+    return np.ascontiguousarray(np.concatenate(parts)).view(kind).ravel() if parts else np.zeros(0, kind)
+
+
 class _Texts:
     """Ids, tags and parts of the texts that messages refer to by number."""
 
@@ -145,17 +158,17 @@ class _Texts:
         out, base = _Texts(), [0]
         for m in messages:
             base.append(base[-1] + len(m["ids"]) // 8)
-        out.ids = np.frombuffer(b"".join(m["ids"] for m in messages), np.int64)
-        out.tags = np.frombuffer(b"".join(m["tags"] for m in messages), np.uint32)
-        out.parts = np.frombuffer(b"".join(m["parts"] for m in messages), np.int64)
+        out.ids = _unpacked([m["ids"] for m in messages], "<i8")
+        out.tags = _unpacked([m["tags"] for m in messages], "<u4")
+        out.parts = _unpacked([m["parts"] for m in messages], "<u4").astype(np.int64)
         return out, base
 
     def message(self, bucket: int, kind: int, ref: np.ndarray, lo: np.ndarray, size=None, key=None, rest=b"") -> dict:
         used, ref = np.unique(ref, return_inverse=True)
         return {
-            "bucket": int(bucket), "kind": kind, "ids": self.ids[used].tobytes(), "tags": self.tags[used].tobytes(),
-            "parts": self.parts[used].tobytes(), "ref": ref.astype(np.uint32).tobytes(), "lo": lo.astype(np.uint32).tobytes(),
-            "size": b"" if size is None else size.tobytes(), "key": b"" if key is None else key.tobytes(), "rest": rest,
+            "bucket": int(bucket), "kind": kind, "ids": _packed(self.ids[used], "<i8"), "tags": _packed(self.tags[used], "<u4"),
+            "parts": _packed(self.parts[used], "<u4"), "ref": _packed(np.diff(ref, prepend=0), "<i4"), "lo": _packed(lo, "<u4"),
+            "size": b"" if size is None else _packed(size, size.dtype.str), "key": b"" if key is None else key.tobytes(), "rest": rest,
         }
 
     def by_part(self, kind: int, ref: np.ndarray, lo: np.ndarray, size: np.ndarray, key=None) -> Iterator[dict]:
@@ -172,10 +185,10 @@ def _read(messages: list[dict], kind: int, size_type, key_type=None, with_rest=F
     """The texts and the arrays of all messages of a kind, laid end to end."""
     some = [m for m in messages if m["kind"] == kind]
     texts, base = _Texts.of(some)
-    refs = [np.frombuffer(m["ref"], np.uint32).astype(np.int64) + b for m, b in zip(some, base)]
+    refs = [np.cumsum(_unpacked([m["ref"]], "<i4"), dtype=np.int64) + b for m, b in zip(some, base)]
     ref = np.concatenate(refs) if refs else np.zeros(0, np.int64)
-    lo = np.frombuffer(b"".join(m["lo"] for m in some), np.uint32).astype(np.int64)
-    size = np.frombuffer(b"".join(m["size"] for m in some), size_type)
+    lo = _unpacked([m["lo"] for m in some], "<u4").astype(np.int64)
+    size = _unpacked([m["size"] for m in some], np.dtype(size_type).str)
     key = np.frombuffer(b"".join(m["key"] for m in some), key_type) if key_type else None
     rest = b"".join(m["rest"] for m in some) if with_rest else b""
     return texts, ref, lo, size, key, rest
@@ -302,7 +315,7 @@ def _dictionary(table: pa.Table) -> pa.Table:
     """Entries of a bucket to messages for the parts: phrases whose first document is an earlier one are DONE;
     of the others those whose trigger has several phrases, from several documents, are EDGE or LOOSE."""
     messages = table.to_pylist()
-    out = [{**m, "bucket": int(np.frombuffer(m["parts"], np.int64)[0])} for m in messages if m["kind"] != ENTRY]
+    out = [{**m, "bucket": int(_unpacked([m["parts"]], "<u4")[0])} for m in messages if m["kind"] != ENTRY]
     texts, ref, lo, size, key, _ = _read(messages, ENTRY, np.uint8, _PHRASE_KEY)
     if not len(ref):
         return _table(out)
@@ -457,7 +470,7 @@ def _string_keys(matrix: np.ndarray) -> np.ndarray:
 def _resolve(table: pa.Table) -> pa.Table:
     """Suffix arrays of a bucket's phrases: a string is DONE where its run begins in an earlier document."""
     rows = table.to_pylist()
-    out = [{**m, "bucket": int(np.frombuffer(m["parts"], np.int64)[0])} for m in rows if m["kind"] == DONE]
+    out = [{**m, "bucket": int(_unpacked([m["parts"]], "<u4")[0])} for m in rows if m["kind"] == DONE]
     texts, ref, lo, size, _, octets = _read(rows, EDGE, np.uint8, with_rest=True)
     found = []
     if len(ref):
