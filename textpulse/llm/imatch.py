@@ -28,7 +28,7 @@ _EMPTY = "0" * _HEX
 # A level's likeness counts at least this many sets, so that one chance hit is no likeness.
 _LEAST_SETS = 4
 ROWS_PER_BUCKET = 2_048
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES = 1 << 20
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _BASE = 0x9E3779B97F4A7C15
