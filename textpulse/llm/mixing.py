@@ -19,7 +19,8 @@ BLOCK_WORDS = 128
 SHARD_BLOCKS = 4096
 ROWS_PER_BUCKET = 50_000
 SEED = 17
-_CHUNK = 65_536
+SLOTS_PER_TASK = 100_000
+_CHUNK = 16_384
 _WALK = 16
 
 
@@ -67,19 +68,21 @@ def permuted(index: Column, source: Column, epoch: Column, n: Column) -> Column:
     """Pseudorandom permutation of 0..n-1 for each source and epoch. What lands on a spare cell of the
     grid walks on; a walk cannot be longer than the spare cells, of which there are fewer than a row."""
     first = _permuted(index, source, epoch, n)
-    return F.aggregate(
+    walked = F.aggregate(
         F.sequence(F.lit(1), F.lit(_WALK)), first,
         lambda at, _: F.when(at < n, at).otherwise(_permuted(at, source, epoch, n)),
         lambda at: F.when(at < n, at).otherwise(F.raise_error(F.lit("the walk left the grid")).cast("bigint")),
     )
+    return F.when(first < n, first).otherwise(walked)
 
 
-def _numbers(rows: DataFrame, start: str, count: str, out: str) -> DataFrame:
-    """A row for each of ``count`` numbers from ``start``; a long run is cut first and dealt out."""
+def _numbers(rows: DataFrame, start: str, count: str, out: str, tasks: int) -> DataFrame:
+    """A row for each of ``count`` numbers from ``start``; a long run is cut first, and the cuts, which are few
+    bytes but much work, are dealt out to so many tasks."""
     cut = rows.where(F.col(count) > 0).withColumn(
         "_at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1, F.lit(_CHUNK).cast("bigint")))
     )
-    dealt = cut.repartition("rank", "_at") if "shard" not in rows.columns else cut
+    dealt = cut.repartition(tasks, *rows.columns, "_at")
     last = F.least(F.col("_at") + _CHUNK, F.col(count)) - 1
     return dealt.withColumn(out, F.explode(F.sequence(F.col(start) + F.col("_at"), F.col(start) + last))).drop("_at")
 
@@ -111,7 +114,8 @@ def plan_mix(sizes: DataFrame, block_words: int = BLOCK_WORDS, shard_blocks: int
     sources = storage.materialize(ranked, storage.fresh_dir(spark, "sources"))
     total = sources.agg(F.sum("n_slots")).first()[0] or 0
 
-    owners = _numbers(sources.select("rank", "first", "n_slots"), "first", "n_slots", "number").select("rank", "number")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // SLOTS_PER_TASK))
+    owners = _numbers(sources.select("rank", "first", "n_slots"), "first", "n_slots", "number", tasks).select("rank", "number")
     draws = spark.range(total).select(
         F.floor(F.col("id") / shard_blocks).cast("bigint").alias("shard"),
         F.pmod(F.xxhash64(F.lit(SEED), F.lit("draw"), "id"), F.lit(max(total, 1)).cast("bigint")).alias("number"),
@@ -124,21 +128,21 @@ def plan_mix(sizes: DataFrame, block_words: int = BLOCK_WORDS, shard_blocks: int
         "start", F.coalesce(F.sum("n").over(through), F.lit(0))
     )
     kept = counted.withColumn("kept", F.least("n", F.greatest(F.col("n_slots") - F.col("start"), F.lit(0))))
-    own = _numbers(kept.select("shard", "rank", "start", "kept"), "start", "kept", "position").select(
+    own = _numbers(kept.select("shard", "rank", "start", "kept"), "start", "kept", "position", tasks).select(
         "shard", "rank", "position"
     )
     # Redraw: surplus draws, numbered through, meet the positions nobody drew. Both sum to the same.
     queue = Window.orderBy("shard", "rank").rowsBetween(Window.unboundedPreceding, -1)
     surplus = kept.withColumn("spare", F.col("n") - F.col("kept")).where("spare > 0")
     surplus = surplus.withColumn("from", F.coalesce(F.sum("spare").over(queue), F.lit(0)))
-    spare = _numbers(surplus.select("shard", "rank", "from", "spare"), "from", "spare", "unit").select("shard", "unit")
+    spare = _numbers(surplus.select("shard", "rank", "from", "spare"), "from", "spare", "unit", tasks).select("shard", "unit")
     got = drawn.groupBy("rank").agg(F.sum("n").alias("got"))
     short = sources.select("rank", "n_slots").join(got, "rank", "left").withColumn("got", F.coalesce("got", F.lit(0)))
     short = short.withColumn("lack", F.col("n_slots") - F.col("got")).where("lack > 0")
     short = short.withColumn(
         "from", F.coalesce(F.sum("lack").over(Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
-    missing = _numbers(short, "from", "lack", "unit").select(
+    missing = _numbers(short, "from", "lack", "unit", tasks).select(
         "rank", "unit", (F.col("got") + F.col("unit") - F.col("from")).alias("position")
     )
     redrawn = spare.join(missing, "unit").select("shard", "rank", "position")
