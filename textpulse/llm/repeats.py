@@ -19,15 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from textpulse.llm.shipping import ship
+from textpulse.llm.shipping import ship, tidy
 
 LENGTH = 50
 TRIGGER = 16
 SPAN = LENGTH - TRIGGER + 1
 # A part of the corpus, and a bucket of its phrases, has about this much text.
 LEAST_PART, MOST_PART, PARTS = 4 << 20, 24 << 20, 64
+# Phrases to compare take more room than their entries: so many buckets for each part.
+SHARES = 4
 _BUFFER = 2 << 20
-_FLUSH = 16 << 20
+_FLUSH = 8 << 20
 # A trigger with more phrases than this in one task, or in all, has its strings dealt out one by one.
 HOT_IN_TASK, HOT = 256, 4_096
 ENTRY, DONE, EDGE, LOOSE = 0, 1, 2, 3
@@ -261,6 +263,7 @@ def _parse(buckets: int) -> Callable:
                     yield from _table(rows[start : start + 200]).to_batches()
             for h in (*held, ids, tags, parts):
                 h.clear()
+            tidy()
 
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("doc_id", "text", "_part")]
@@ -389,6 +392,7 @@ def _suffix_array(laid: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.n
     padded = np.zeros((len(matrix), -(-LENGTH // 8) * 8), np.uint8)
     padded[:, :LENGTH] = matrix
     words = padded.view(">u8").astype(np.uint64)
+    del padded
     order = np.argsort(words[:, 0], kind="stable")
     head = words[order, 0]
     tied = np.zeros(len(order), bool)
@@ -398,9 +402,11 @@ def _suffix_array(laid: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.n
     at = np.flatnonzero(tied)
     some = order[at]
     order[at] = some[np.lexsort(tuple(words[some, c] for c in range(words.shape[1] - 1, -1, -1)))]
-    ranked = words[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (ranked[1:] != ranked[:-1]).any(axis=1)
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in range(words.shape[1]):
+        ranked = words[order, c]
+        new[1:] |= ranked[1:] != ranked[:-1]
     return matrix, order, np.flatnonzero(new)
 
 
@@ -467,6 +473,19 @@ def _string_keys(matrix: np.ndarray) -> np.ndarray:
     return key
 
 
+def _tidied(function: Callable) -> Callable:
+    """The function, after which the worker's freed memory goes back."""
+
+    def run(*tables: pa.Table) -> pa.Table:
+        try:
+            return function(*tables)
+        finally:
+            tidy()
+
+    # Spark looks at the number of arguments.
+    return (lambda a, b: run(a, b)) if function.__code__.co_argcount == 2 else (lambda a: run(a))
+
+
 def _resolve(table: pa.Table) -> pa.Table:
     """Suffix arrays of a bucket's phrases: a string is DONE where its run begins in an earlier document."""
     rows = table.to_pylist()
@@ -531,11 +550,11 @@ def _spread(docs: DataFrame, schema: StructType) -> DataFrame:
     parts = max(1, -(-total // max(LEAST_PART, min(MOST_PART, total // PARTS))))
     rows = docs.withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("bigint"))
     parsed = rows.select("doc_id", "text", "_part").mapInArrow(_parse(parts), _MESSAGE_SQL)
-    settled = parsed.groupBy("bucket").applyInArrow(_dictionary, _MESSAGE_SQL)
+    settled = parsed.groupBy("bucket").applyInArrow(_tidied(_dictionary), _MESSAGE_SQL)
     by_part = rows.groupBy("_part")
-    compared = by_part.cogroup(settled.groupBy("bucket")).applyInArrow(_compare(parts), _MESSAGE_SQL)
-    resolved = compared.groupBy("bucket").applyInArrow(_resolve, _MESSAGE_SQL)
-    return by_part.cogroup(resolved.groupBy("bucket")).applyInArrow(_cut(names), schema)
+    compared = by_part.cogroup(settled.groupBy("bucket")).applyInArrow(_tidied(_compare(SHARES * parts)), _MESSAGE_SQL)
+    resolved = compared.groupBy("bucket").applyInArrow(_tidied(_resolve), _MESSAGE_SQL)
+    return by_part.cogroup(resolved.groupBy("bucket")).applyInArrow(_tidied(_cut(names)), schema)
 
 
 def removal_report(docs: DataFrame) -> DataFrame:
