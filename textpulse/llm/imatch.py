@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from textpulse import storage
 from textpulse.llm.ranks import id_buckets
-from textpulse.llm.shipping import ship
+from textpulse.llm.shipping import ship, tidy
 
 # Terms are hashed to this many slots, which bounds the lexicon that every task holds (2 MB of bits).
 SLOT_BITS = 24
@@ -104,6 +104,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, slots = _slots(texts)
             found, times = np.unique(slots, return_counts=True)
             counts[found.astype(np.int64)] += times.astype(np.uint32)
+        tidy()
     width = 1 << _CHUNK_BITS
     for chunk in range(len(counts) // width):
         part = counts[chunk * width : (chunk + 1) * width]
@@ -182,6 +183,7 @@ def _fingerprint_udf(shared):
                 for i, value in zip(there[start : start + len(part)], _fingerprints(part, bits)):
                     out[i] = value
             yield pd.Series(out, dtype=object)
+            tidy()
 
     return F.pandas_udf(fingerprint, "string")
 

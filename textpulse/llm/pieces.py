@@ -16,12 +16,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textpulse.llm.shipping import ship
+from textpulse.llm.shipping import ship, tidy
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
 CACHED_LENGTH = 48
-CACHED_SEGMENTS = 300_000
+CACHED_SEGMENTS = 200_000
 
 
 def default_model() -> str:
@@ -247,6 +247,7 @@ def _digests(path: str | None) -> Callable:
                         (len(ids), hashlib.sha256(joined).hexdigest(), hashlib.sha256(decoded).hexdigest())
                     )
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            tidy()
 
     return F.pandas_udf(digest, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
