@@ -10,6 +10,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pandas as pd
 import sentencepiece
@@ -19,9 +20,10 @@ from pyspark.sql import functions as F
 from textpulse.llm.shipping import ship, tidy
 
 SPACE = "▁"
+_SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*")
 MODEL = "piece_bpe_32k.model"
 CACHED_LENGTH = 48
-CACHED_SEGMENTS = 200_000
+CACHED_SEGMENTS = 500_000
 
 
 def default_model() -> str:
@@ -140,27 +142,32 @@ class PieceModel:
                     ids.append(found)
         return tuple(ids)
 
-    def segments(self, text: str) -> Iterator[str]:
+    def segments(self, text: str) -> list[str]:
         """Runs of spaces with what follows up to the next space. No piece goes on after a space that
         follows something else, so no merge crosses a segment's border."""
-        if text:
-            yield from map(re.Match.group, re.finditer(f"{SPACE}+[^{SPACE}]*", SPACE + text.replace(" ", SPACE)))
+        return _SEGMENT.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def learn(self, texts: list[str]) -> None:
-        """Encodes the texts' segments that are not at hand yet, and has the library encode them too."""
-        if len(self.cache) > CACHED_SEGMENTS:
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """All ids of each text, the end id last. Segments that are not at hand are merged, and checked, once."""
+        split = [self.segments(t) for t in texts]
+        every = set().union(*split)
+        if len(self.cache) + len(every) > CACHED_SEGMENTS:
             self.cache.clear()
-        new: dict[str, tuple[int, ...]] = {}
-        for text in texts:
-            for segment in self.segments(text):
-                if segment not in self.cache and segment not in new and len(segment) <= CACHED_LENGTH:
-                    new[segment] = self.merge(segment)
-            if len(new) > CACHED_SEGMENTS:
-                self._check(new)
-                self.cache.update(new)
-                new = {}
-        self._check(new)
-        self.cache.update(new)
+        merged = {s: self.merge(s) for s in every.difference(self.cache)}
+        self._check(merged)
+        long = {s: ids for s, ids in merged.items() if len(s) > CACHED_LENGTH}
+        self.cache.update((s, ids) for s, ids in merged.items() if s not in long)
+        known = self.cache.__getitem__
+        out = []
+        for part in split:
+            find = (lambda s: long[s] if s in long else known(s)) if long else known
+            ids = list(chain.from_iterable(map(find, part)))
+            ids.append(self.end)
+            out.append(ids)
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all([text])[0]
 
     def _check(self, new: dict[str, tuple[int, ...]]) -> None:
         """Compares with the library, which adds the leading space itself. It adds none to an empty text, so a
@@ -171,20 +178,6 @@ class PieceModel:
             if list(new[segment]) != ids:
                 raise AssertionError(f"the agenda and the library differ on {segment!r}: {new[segment]} and {ids}")
 
-    def encode(self, text: str) -> list[int]:
-        """All ids of a text, the end id last."""
-        ids: list[int] = []
-        get = self.cache.get
-        for segment in self.segments(text):
-            known = get(segment)
-            if known is None:
-                known = self.merge(segment)
-                if len(segment) > CACHED_LENGTH:
-                    self._check({segment: known})
-            ids.extend(known)
-        ids.append(self.end)
-        return ids
-
     def decode(self, ids: list[int]) -> str:
         """Text of ids: pieces in a row, the first space dropped, control ids silent; a byte that belongs to
         no character becomes U+FFFD."""
@@ -236,11 +229,8 @@ def _digests(path: str | None) -> Callable:
         for texts in batches:
             values = [t or "" for t in texts]
             rows = []
-            for start in range(0, len(values), 500):
-                part = values[start : start + 500]
-                model.learn(part)
-                for text in part:
-                    ids = model.encode(text)
+            for start in range(0, len(values), 100):
+                for ids in model.encode_all(values[start : start + 100]):
                     joined = b" ".join(map(model.decimal.__getitem__, ids))
                     decoded = model.decode(ids).encode()
                     rows.append(
@@ -256,9 +246,7 @@ def _ids(path: str | None) -> Callable:
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = model_at(path or default_model())
         for texts in batches:
-            values = [t or "" for t in texts]
-            model.learn(values)
-            yield pd.Series([model.encode(t) for t in values])
+            yield pd.Series(model.encode_all([t or "" for t in texts]))
 
     return F.pandas_udf(encode, "array<int>")
 
