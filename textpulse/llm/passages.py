@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textpulse import storage
+from textpulse.llm.columns import guarded
 from textpulse.llm.shipping import ship
 
 PASSAGE_WORDS = 64
@@ -217,5 +218,5 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents scored THRESHOLD or more, with the columns they came with."""
-    columns = docs.columns
-    return scored(docs, learn(docs, labels), "_score").where(F.col("_score") >= THRESHOLD).select(*columns)
+    table, restored = guarded(docs, "doc_id", "text")
+    return restored(scored(table, learn(table, labels), "_score").where(F.col("_score") >= THRESHOLD))

@@ -93,6 +93,7 @@ class PieceModel:
                 self.scores[piece] = lib.get_score(i)
                 self.raw.append(piece.replace(SPACE, " ").encode())
         self.bytes_of = set(self.byte_ids)
+        self.leading = {i for piece, i in self.ids.items() if piece.startswith(SPACE)}
         self.decimal = [str(i).encode() for i in range(size)]
         self.cache: dict[str, tuple[int, ...]] = {}
 
@@ -179,15 +180,15 @@ class PieceModel:
                 raise AssertionError(f"the agenda and the library differ on {segment!r}: {new[segment]} and {ids}")
 
     def decode(self, ids: list[int]) -> str:
-        """Text of ids: pieces in a row, the first space dropped, control ids silent; a byte that belongs to
+        """Text of ids: pieces in a row, the space of a first piece dropped, control ids silent; a byte that belongs to
         no character becomes U+FFFD."""
         raw = b"".join(map(self.raw.__getitem__, ids))
         try:
             text = raw.decode()
         except UnicodeDecodeError:
             text = "".join(self._mended(ids))
-        starts = next((self.raw[i] for i in ids if self.raw[i]), b"")
-        return text[1:] if starts.startswith(b" ") and starts != " ⁇ ".encode() else text
+        first = next((i for i in ids if self.raw[i]), self.end)
+        return text[1:] if first in self.leading else text
 
     def _mended(self, ids: list[int]) -> Iterator[str]:
         at = 0

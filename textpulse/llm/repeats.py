@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from textpulse.llm.columns import guarded
 from textpulse.llm.shipping import ship, tidy
 
 LENGTH = 50
@@ -572,8 +573,9 @@ def removal_report(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents with what remains of their texts, and ``n_chars``, if there, counted anew. A character
     of which only some bytes go leaves with them; a null text stays null."""
-    rows = docs.withColumn("_null", F.col("text").isNull())
-    kept = _spread(rows, rows.schema).withColumn("text", F.when(~F.col("_null"), F.col("text")))
+    table, restored = guarded(docs, "doc_id", "text")
+    rows = table.withColumn("_null", F.col("text").isNull())
+    kept = restored(_spread(rows, rows.schema).withColumn("text", F.when(~F.col("_null"), F.col("text"))))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+    return kept

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textpulse import storage
+from textpulse.llm.columns import guarded
 from textpulse.llm.components import connected
 from textpulse.llm.shipping import ship
 
@@ -164,16 +165,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """One row of each group stays: the smallest doc_id, among its repeats the smallest text hash, one row."""
     ident = ["_id", "_hash"]
-    rows = docs.withColumns({"_id": F.col("doc_id"), "_hash": F.xxhash64("text")})
+    table, restored = guarded(docs, "doc_id", "text")
+    rows = table.withColumns({"_id": F.col("doc_id"), "_hash": F.xxhash64("text")})
     narrow = rows.select(*ident, simhash("text").alias("fp"))
     written = storage.materialize(narrow, storage.fresh_dir(docs.sparkSession, "simhash"))
     grouped = storage.materialize(groups(written, "_id"), storage.fresh_dir(docs.sparkSession, "grouped"))
-    chosen = grouped.groupBy("component_id").agg(F.min(F.struct(*ident)).alias("k"))
+    chosen = grouped.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("_none"), *ident)).alias("k"))
     # Components of rows without any doc_id share no number: each keeps its rows, repeats aside.
     keep = chosen.where("component_id IS NOT NULL").select("k.*")
     lone = grouped.where("component_id IS NULL").groupBy("fp").agg(
-        F.min(F.struct(*ident)).alias("k")
+        F.min(F.struct(F.col("_id").isNull().alias("_none"), *ident)).alias("k")
     ).select("k.*")
     keep = keep.unionByName(lone).select(F.col("_id").alias("_kid"), F.col("_hash").alias("_khash"))
     same = F.col("_id").eqNullSafe(F.col("_kid")) & (F.col("_hash") == F.col("_khash"))
-    return rows.join(keep, same, "left_semi").dropDuplicates(ident).select(*docs.columns)
+    return restored(rows.join(keep, same, "left_semi").dropDuplicates(ident))
