@@ -61,8 +61,8 @@ RULES = [
     ("Unlicense", ["UNLICENSE"]),
 ]
 
-# A sentence ends at its mark before white space, at a colon before white space, or with its line.
-_BREAK = r"(?<=[.!?:])[ \t\r\f]+|[ \t\r\f]*\n\s*"
+# A sentence ends at its mark before white space, or with its line.
+_BREAK = r"(?<=[.!?])[ \t\r\f]+|[ \t\r\f]*\n\s*"
 _NOT_WORDS = r"[^a-z0-9]+"
 
 

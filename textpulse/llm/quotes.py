@@ -62,7 +62,7 @@ def passages(messages: DataFrame) -> DataFrame:
         F.transform(F.filter("_lines", lambda p: p["level"] == 0), lambda p: p["line"]), "\n"
     )
     return rows.withColumns({
-        "passages": F.transform("_starts", passage), "body": F.trim(F.regexp_replace(body, r"\n{3,}", "\n\n"))
+        "passages": F.transform("_starts", passage), "body": F.regexp_replace(F.regexp_replace(body, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
     }).drop("_lines", "_blank", "_starts")
 
 
