@@ -8,6 +8,7 @@ from __spark_entry__ import queries
 from textpulse.operators import summary
 from textpulse.operators.star import Criteria, drill_down
 from workload import inputs
+from workload.registry import QUERIES
 
 STREAMS_AND_MODELS = ("stream", "ml_", "job_", "sink_", "src_", "idf_")
 
@@ -16,7 +17,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", [k for k in sorted(queries()) if not k.startswith(STREAMS_AND_MODELS)])
+@pytest.mark.parametrize("key", [k for k in sorted(QUERIES) if not k.startswith(STREAMS_AND_MODELS)])
 def test_no_python_workers_and_no_cross_joins(key, spark, sf_dir):
     plan = plan_of(queries()[key](spark, sf_dir))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
