@@ -1,5 +1,7 @@
 """The corpus pipeline and the registered queries."""
 
+import pytest
+
 import corpus_pipeline
 from textpulse import storage
 from textpulse.llm import passages, queries, simhash
@@ -35,3 +37,11 @@ def test_stages(spark, sf_dir):
 
 def test_one_query_for_each_operator():
     assert sorted(k.split("_")[0] for k in queries.QUERIES) == sorted([*[f"op{n}" for n in range(1, 11)], "pipeline"])
+
+
+@pytest.mark.parametrize("number", [2, 3, 5, 7])
+def test_native_queries_run_no_python_and_no_cross_joins(spark, sf_dir, number):
+    key = next(k for k in queries.QUERIES if k.startswith(f"op{number}_"))
+    plan = queries.QUERIES[key](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("EvalPython", "MapInPandas", "MapInArrow", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in plan
