@@ -6,11 +6,13 @@ time is encoded by both, and a difference raises.
 
 from __future__ import annotations
 
+import gc
 import hashlib
-import heapq
 import re
 from collections.abc import Callable, Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
+from operator import add
 
 import pandas as pd
 import sentencepiece
@@ -73,7 +75,7 @@ class PieceModel:
         size = lib.vocab_size()
         self.end = lib.eos_id()
         self.ids: dict[str, int] = {}
-        self.scores: dict[str, float] = {}
+        scores: dict[str, float] = {}
         self.byte_ids = [0] * 256
         self.raw: list[bytes] = []
         for i in range(size):
@@ -90,8 +92,11 @@ class PieceModel:
                 if SPACE in piece.lstrip(SPACE):
                     raise ValueError("a piece goes on after a space, so segments would not be independent")
                 self.ids[piece] = i
-                self.scores[piece] = lib.get_score(i)
+                scores[piece] = lib.get_score(i)
                 self.raw.append(piece.replace(SPACE, " ").encode())
+        place = {score: i for i, score in enumerate(sorted(set(scores.values()), reverse=True))}
+        # Equal scores share a rank, so that the leftmost pair among them goes first.
+        self.ranks = {piece: place[score] for piece, score in scores.items()}
         self.bytes_of = set(self.byte_ids)
         self.leading = {i for piece, i in self.ids.items() if piece.startswith(SPACE)}
         self.decimal = [str(i).encode() for i in range(size)]
@@ -100,39 +105,40 @@ class PieceModel:
     def merge(self, segment: str) -> tuple[int, ...]:
         """Ids of one segment: the best-scored adjacent pair is merged first, the leftmost among equals.
 
-        The agenda holds every mergeable pair by score and place; an entry whose symbols have since
-        changed is skipped when it comes up. Time grows with n log n, whatever the segment's length.
+        The agenda holds every mergeable pair as one number, its score's rank and then its place; an entry
+        whose pair has since got another rank is skipped when it comes up. Time grows with n log n, whatever
+        the segment's length.
         """
-        scores = self.scores
+        rank_of = self.ranks.get
         symbols = list(segment)
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        agenda = []
-        for i in range(n - 1):
-            pair = symbols[i] + symbols[i + 1]
-            score = scores.get(pair)
-            if score is not None:
-                agenda.append((-score, i, pair))
-        heapq.heapify(agenda)
+        agenda = [
+            rank * n + i
+            for i, rank in enumerate(map(rank_of, map(add, symbols, symbols[1:])))
+            if rank is not None
+        ]
+        heapify(agenda)
         while agenda:
-            _, left, pair = heapq.heappop(agenda)
+            rank, left = divmod(heappop(agenda), n)
             right = after[left]
-            if not symbols[left] or right >= n or symbols[left] + symbols[right] != pair:
+            if right >= n or not symbols[left]:
+                continue
+            pair = symbols[left] + symbols[right]
+            if rank_of(pair) != rank:
                 continue
             symbols[left], symbols[right] = pair, ""
             following = after[left] = after[right]
             if following < n:
                 before[following] = left
-                joined = pair + symbols[following]
-                score = scores.get(joined)
-                if score is not None:
-                    heapq.heappush(agenda, (-score, left, joined))
+                rank = rank_of(pair + symbols[following])
+                if rank is not None:
+                    heappush(agenda, rank * n + left)
             previous = before[left]
             if previous >= 0:
-                joined = symbols[previous] + pair
-                score = scores.get(joined)
-                if score is not None:
-                    heapq.heappush(agenda, (-score, previous, joined))
+                rank = rank_of(symbols[previous] + pair)
+                if rank is not None:
+                    heappush(agenda, rank * n + previous)
         ids: list[int] = []
         for symbol in symbols:
             if symbol:
@@ -149,7 +155,19 @@ class PieceModel:
         return _SEGMENT.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
-        """All ids of each text, the end id last. Segments that are not at hand are merged, and checked, once."""
+        """All ids of each text, the end id last. Segments that are not at hand are merged, and checked, once.
+
+        Python's search for cycles waits meanwhile: nothing here makes any, and it would walk all lists again and again.
+        """
+        searching = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode_all(texts)
+        finally:
+            if searching:
+                gc.enable()
+
+    def _encode_all(self, texts: list[str]) -> list[list[int]]:
         split = [self.segments(t) for t in texts]
         every = set().union(*split)
         if len(self.cache) + len(every) > CACHED_SEGMENTS:
