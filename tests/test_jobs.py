@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textpulse import storage
 from textpulse.functions.keys import message_key
-from textpulse.operators import evaluation, recent, staging, summary
+from textpulse.operators import dimensions, evaluation, recent, staging, summary
 from textpulse.operators.star import Criteria, Star, drill_down
 from textpulse.plans import adhoc, bi, etl
 from textpulse.session import use_utc
@@ -261,13 +261,76 @@ def test_stream_equals_batch(spark, sf_dir):
 def test_replayed_batch_replaces_itself(spark):
     log = storage.fresh_dir(spark, "test-log")
     records = spark.createDataFrame([('{"source":"s","text":"t"}',), ("broken",)], "value string")
-    records = records.withColumn("arrival", F.lit(None).cast("bigint"))
+    records = records.selectExpr("value", "1L AS arrival", "'file' AS part", "0L AS position")
     for _ in range(2):
-        ingest.stage_batch(records, log, 7)
+        ingest.stage_batch(records, log, "s000001-x", 7)
     assert [tuple(r) for r in staging.read_log(spark, log).select("text", "batch_id").collect()] == [("t", 7)]
     assert [r.value for r in staging.read_rejected(spark, log).collect()] == ["broken"]
 
 
+def test_new_checkpoint_adds_and_last_write_wins(spark):
+    """Two streams number their batches from 0 into one log. Inside a batch the later line of a file wins."""
+    log = storage.fresh_dir(spark, "test-log")
+    waves = [[("t", "a"), ("u", "a"), ("t", "b"), ("t", "c")], [("t", "d"), ("v", "d")]]
+    for wave in waves:
+        path = storage.fresh_dir(spark, "test-topic")
+        rows = spark.createDataFrame(wave, "text string, source string").withColumn("created_at", F.lit("2024-01-01"))
+        publish.to_files(rows.coalesce(1), path)
+        checkpoint = storage.fresh_dir(spark, "test-checkpoint")
+        ingest.ingest(messages.file_stream(spark, path), log, checkpoint, DRAIN).awaitTermination()
+        current = staging.current_messages(staging.read_log(spark, log))
+        last = {r.text: r.source for r in current.collect()}
+        assert last == ({"t": "c", "u": "a"} if wave is waves[0] else {"t": "d", "u": "a", "v": "d"})
+    assert staging.read_log(spark, log).count() == 6
+    assert len(storage.names(spark, log)) == 2
+
+
+def test_live_counts_of_two_streams_add_up(spark):
+    """Files come newest first; without a watermark every row counts, and a second stream adds to the first."""
+    out, schema = storage.fresh_dir(spark, "test-live"), "ts timestamp, kind string"
+    for _ in range(2):
+        folder = storage.fresh_dir(spark, "test-events")
+        for day in range(5, 0, -1):
+            row = spark.range(3).select(F.make_timestamp(*map(F.lit, (2024, 1, day, 0, 0, 0))).alias("ts"))
+            row.withColumn("kind", F.lit("k")).coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        counts = live.live_counts(stream, "ts", "kind", "Hour", lateness=None)
+        live.write_live(counts, out, storage.fresh_dir(spark, "test-checkpoint"), DRAIN).awaitTermination()
+    assert [r.messages for r in live.read_live(spark, out).collect()] == [6] * 5
+
+
+def test_two_names_with_one_key_fail_the_load(spark):
+    """Both names have the CRC-32 1306201125."""
+    target = Warehouse(spark, storage.fresh_dir(spark, "test-star")).create()
+
+    def load(*names):
+        rows = spark.createDataFrame([(n,) for n in names], "source string")
+        etl.append_dimension(target, "dim_source", dimensions.source_rows(rows, RUN), "source_name")
+
+    with pytest.raises(ValueError, match="plumless"):
+        load("plumless", "buckeroo")
+    assert target.sources.isEmpty()
+    load("plumless")
+    with pytest.raises(ValueError, match="buckeroo"):
+        load("buckeroo")
+    load("plumless")
+    assert target.sources.count() == 1
+
+
+@pytest.mark.parametrize("small", [4, 5, 6])
+def test_adhoc_and_negative_examples_around_the_small_limit(spark, sf_dir, monkeypatch, small):
+    """One contract on both sides of the switch: five rows, newest first."""
+    monkeypatch.setattr(recent.newest, "__defaults__", (small,))
+    star = inputs.star(spark, sf_dir)
+    order = [F.desc("created_at"), F.asc("fact_id")]
+    for got, rows in (
+        (adhoc.adhoc(star, Criteria(), 5), star.joined()),
+        (recent.negative_examples(star, n=5), star.joined().where("sentiment_class = 'negative'")),
+    ):
+        want = rows.orderBy(*order).limit(5).select(*got.columns)
+        assert got.collect() == want.collect()
+
+
 @pytest.mark.parametrize("grain", ["Hour", "Week"])
 def test_live_rollup_equals_batch(spark, sf_dir, grain):
     """Facts arrive in several micro-batches, oldest day first; the live counts end as the batch ones."""

@@ -10,9 +10,9 @@ from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textpulse import rules
+from textpulse import rules, storage
 from textpulse.functions.dates import GRAINS
-from textpulse.operators import recent, summary
+from textpulse.operators import recent, staging, summary
 from textpulse.operators.star import Criteria, Star
 from textpulse.plans import adhoc, bi, etl, training
 from textpulse.session import build_session, use_utc
@@ -75,7 +75,7 @@ def train_job(spark: SparkSession, args: argparse.Namespace) -> None:
 def etl_job(spark: SparkSession, args: argparse.Namespace) -> None:
     scorer = etl.model_scorer(load_model(args.model), args.clean)
     warehouse = Warehouse(spark, args.warehouse)
-    etl.load(spark, args.log, warehouse, scorer, args.run_ts, args.since_batch)
+    etl.load(spark, args.log, warehouse, scorer, args.run_ts, args.since_batch, args.since_run)
 
 
 def page_job(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -83,13 +83,17 @@ def page_job(spark: SparkSession, args: argparse.Namespace) -> None:
     star = _star(spark, args)
     if args.limit:
         star = recent.limited(star, args.limit)
-    for name, panel in bi.page(star, args.grain, _criteria(args)).items():
-        print(name)
-        show(panel)
+    scratch = storage.fresh_dir(spark, "page")
+    try:
+        for name, panel in bi.page(star, args.grain, _criteria(args), scratch).items():
+            print(name)
+            deliver(panel, args.output and f"{args.output}/{name}")
+    finally:
+        storage.delete(spark, scratch)
 
 
 def adhoc_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    show(adhoc.adhoc(_star(spark, args), _criteria(args), args.limit), args.limit)
+    deliver(adhoc.adhoc(_star(spark, args), _criteria(args), args.limit), args.output, args.limit)
 
 
 def recent_job(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -105,11 +109,23 @@ def values_job(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def sql_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    show(adhoc.raw_sql(_star(spark, args), args.statement))
+    deliver(adhoc.raw_sql(_star(spark, args), args.statement), args.output)
 
 
-def show(df: DataFrame, n: int = 100) -> None:
-    df.show(n, truncate=60)
+SCREEN_ROWS, SCREEN_WIDTH = 100, 60
+
+
+def deliver(df: DataFrame, output: str | None, n: int = SCREEN_ROWS) -> None:
+    """Whole results as Parquet where a folder is given, else a view on the screen."""
+    if output:
+        df.write.parquet(output)
+    else:
+        show(df, n)
+
+
+def show(df: DataFrame, n: int = SCREEN_ROWS) -> None:
+    df.show(n, truncate=SCREEN_WIDTH)
+    print(f"At most {n} rows, cells cut at {SCREEN_WIDTH} characters; --output, where offered, writes all.")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -146,19 +162,23 @@ def parser() -> argparse.ArgumentParser:
     sub = job("etl", etl_job, "log", "warehouse", "model")
     sub.add_argument("--run-ts", default=_now())
     sub.add_argument("--since-batch", type=int)
+    sub.add_argument("--since-run", default=staging.LOADS, help="run folder that --since-batch counts in")
     sub.add_argument("--clean", choices=["train", "serve"], default="train")
 
     sub = criteria(job("page", page_job, "warehouse"))
     sub.add_argument("--grain", choices=list(GRAINS), default="Hour")
     sub.add_argument("--limit", type=int)
-    criteria(job("adhoc", adhoc_job, "warehouse")).add_argument(
-        "--limit", type=int, default=rules.ADHOC_LIMIT
-    )
+    sub.add_argument("--output", help="folder for whole panels")
+    sub = criteria(job("adhoc", adhoc_job, "warehouse"))
+    sub.add_argument("--limit", type=int, default=rules.ADHOC_LIMIT)
+    sub.add_argument("--output", help="folder for all rows")
     criteria(job("recent", recent_job, "warehouse", "output")).add_argument(
         "--limit", type=int, default=rules.LOAD_LIMIT
     )
     job("values", values_job, "warehouse")
-    job("sql", sql_job, "warehouse").add_argument("statement", nargs="?", default=adhoc.DEFAULT_SQL)
+    sub = job("sql", sql_job, "warehouse")
+    sub.add_argument("statement", nargs="?", default=adhoc.DEFAULT_SQL)
+    sub.add_argument("--output", help="folder for all rows")
     return root
 
 

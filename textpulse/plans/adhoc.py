@@ -5,22 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from textpulse import rules
-from textpulse.operators.recent import newest
+from textpulse.operators.recent import load_recent
 from textpulse.operators.star import Criteria, Star
 
 DEFAULT_SQL = "SELECT count(*) AS row_count FROM fact_sentiment"
 
 
-def adhoc_rows(star: Star, criteria: Criteria) -> DataFrame:
-    return star.joined(criteria).select(
-        "created_at", "source_name", "topic_name", "sentiment_class", "sentiment_score", "text",
-        "fact_id",
-    )
-
-
 def adhoc(star: Star, criteria: Criteria, limit: int = rules.ADHOC_LIMIT) -> DataFrame:
-    """Newest rows that meet all criteria."""
-    return newest(adhoc_rows(star, criteria), limit).drop("fact_id")
+    """Newest rows that meet all criteria, newest first. The facts are narrowed before they meet the names."""
+    return load_recent(star, limit, criteria).select(
+        "created_at", "source_name", "topic_name", "sentiment_class", "sentiment_score", "text"
+    )
 
 
 def raw_sql(star: Star, statement: str = DEFAULT_SQL) -> DataFrame:

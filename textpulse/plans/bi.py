@@ -9,12 +9,15 @@ from textpulse.operators import recent, summary
 from textpulse.operators.star import EVERYTHING, Criteria, Star
 
 
-def page(star: Star, grain: str = "Hour", criteria: Criteria = EVERYTHING) -> dict[str, DataFrame]:
+def page(
+    star: Star, grain: str = "Hour", criteria: Criteria = EVERYTHING, scratch: str | None = None
+) -> dict[str, DataFrame]:
     """All panels from one scan of the facts: the summary is written once and read by each panel.
-    Its size follows the number of buckets, sources and topics, not the number of messages."""
+    Its size follows the number of buckets, sources and topics, not the number of messages.
+    A caller that gives ``scratch`` can delete it when it has read the panels."""
     spark = star.facts.sparkSession
     cube = storage.materialize(
-        summary.summarise_by_time(star, grain, criteria), storage.fresh_dir(spark, "page")
+        summary.summarise_by_time(star, grain, criteria), scratch or storage.fresh_dir(spark, "page")
     )
     return {
         "kpis": summary.kpis(cube),

@@ -43,6 +43,7 @@ def load(
     scorer: Scorer,
     run_ts: str,
     since_batch: int | None = None,
+    since_run: str = staging.LOADS,
 ) -> None:
     """Loads what the warehouse does not hold yet; a second run adds nothing.
 
@@ -52,7 +53,7 @@ def load(
     """
     use_utc(spark)
     warehouse.create()
-    log = staging.read_log(spark, log_path, since_batch)
+    log = staging.read_log(spark, log_path, since_batch, since_run)
     current = staging.current_messages(log)
     loaded = warehouse.facts.select(F.col("fact_id").alias("message_key"))
     fresh = not_yet_in(current, loaded, "message_key", log)
@@ -81,4 +82,6 @@ def write_log_batch(messages: DataFrame, log_path: str, batch_id: int) -> None:
         "kind",
         F.when(F.col("text").isNull(), staging.REJECTED).otherwise(staging.MESSAGE),
     )
-    rows.write.mode("overwrite").partitionBy("kind").parquet(f"{log_path}/batch_id={batch_id}")
+    rows.write.mode("overwrite").partitionBy("kind").parquet(
+        f"{log_path}/run={staging.LOADS}/batch_id={batch_id}"
+    )

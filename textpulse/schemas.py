@@ -23,10 +23,11 @@ def _struct(**fields: DataType) -> StructType:
 
 MESSAGE = _struct(source=_STRING, text=_STRING, created_at=_STRING)
 
-# Append-only staging log. ``batch_id`` and ``kind`` are partition folders.
+# Append-only staging log. ``run``, ``batch_id`` and ``kind`` are partition folders; ``arrival``, ``part``,
+# ``position`` and ``line`` say in which order messages of one batch came.
 STAGING_LOG = _struct(
     message_key=_STRING, source=_STRING, text=_STRING, created_at=_STRING, value=_STRING,
-    arrival=_LONG, batch_id=_LONG, kind=_STRING,
+    arrival=_LONG, part=_STRING, position=_LONG, line=_LONG, run=_STRING, batch_id=_LONG, kind=_STRING,
 )
 
 TRAINING = _struct(id=_LONG, entity=_STRING, sentiment=_STRING, text=_STRING)
@@ -53,8 +54,8 @@ METRICS = _struct(
     confusion_matrix=ArrayType(ArrayType(_LONG)),
 )
 
-# Live roll-up, one folder per micro-batch.
-LIVE_COUNTS = _struct(bucket=_TIME, category=_STRING, messages=_LONG, batch_id=_LONG)
+# Live roll-up, one folder per stream and micro-batch.
+LIVE_COUNTS = _struct(bucket=_TIME, category=_STRING, messages=_LONG, run=_STRING, batch_id=_LONG)
 
 STAR_TABLES = {
     "dim_source": DIM_SOURCE,

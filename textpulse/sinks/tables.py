@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from textpulse.sources.warehouse import Warehouse
 
@@ -19,8 +20,24 @@ def not_yet_in(new: DataFrame, existing: DataFrame, key: str, keys: DataFrame) -
     return new.join(seen, key, "left_anti")
 
 
+def require_own_keys(rows: DataFrame, table: str, surrogate: str, name: str) -> None:
+    """Raises where two names share a surrogate key: facts would join to both."""
+    names = rows.groupBy(surrogate).agg(F.min(name).alias("one"), F.max(name).alias("other"))
+    clash = names.where(F.col("one") != F.col("other")).first()
+    if clash:
+        raise ValueError(
+            f"{table}: {clash['one']!r} and {clash['other']!r} have one key, {clash[surrogate]}; rename one of them"
+        )
+
+
 def append_dimension(warehouse: Warehouse, table: str, rows: DataFrame, key: str) -> None:
-    missing = rows.join(warehouse.table(table).select(key), key, "left_anti")
+    """Adds the rows whose ``key`` the table lacks; fails before it writes where two names have one id."""
+    held = warehouse.table(table)
+    surrogate = held.columns[0]
+    if key != surrogate:
+        both = held.select(surrogate, key).unionByName(rows.select(surrogate, key))
+        require_own_keys(both, table, surrogate, key)
+    missing = rows.join(held.select(key), key, "left_anti")
     missing.select(*warehouse.table(table).columns).write.mode("append").parquet(warehouse.path(table))
 
 

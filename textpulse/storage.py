@@ -24,6 +24,12 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.getFileStatus(where).isDirectory()
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; nothing where there is none."""
+    fs, where = _locate(spark, path)
+    return [entry.getPath().getName() for entry in fs.listStatus(where)] if fs.exists(where) else []
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, where = _locate(spark, path)
     fs.delete(where, True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textpulse import schemas
+from textpulse.streaming.runs import query_id
 
 # Width and offset of each grain; weeks start on Monday (the epoch was a Thursday).
 WINDOWS = {
@@ -18,12 +19,17 @@ WINDOWS = {
 
 
 def live_counts(
-    rows: DataFrame, ts: str, category: str, grain: str = "Hour", lateness: str = "10 minutes"
+    rows: DataFrame, ts: str, category: str, grain: str = "Hour", lateness: str | None = "10 minutes"
 ) -> DataFrame:
     """State holds one count per open bucket and class; the watermark closes buckets.
-    Counting combines before the shuffle, so one busy class is no hot spot."""
+    Counting combines before the shuffle, so one busy class is no hot spot.
+
+    Rows later than ``lateness`` behind the newest are not counted. A finite drain, whose files may come in
+    any order, takes None: no bucket closes and every row counts.
+    """
     width, offset = WINDOWS[grain]
-    windowed = rows.withWatermark(ts, lateness).groupBy(
+    timed = rows if lateness is None else rows.withWatermark(ts, lateness)
+    windowed = timed.groupBy(
         F.window(ts, width, width, offset).alias("window"), F.col(category).alias("category")
     )
     start = F.col("window.start")
@@ -34,13 +40,13 @@ def live_counts(
 
 
 def write_live(counts: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
-    """Update mode: a batch writes only the buckets it changed, in a folder of its own."""
+    """Update mode: a batch writes only the buckets it changed, in a folder of its own and its stream's."""
     return (
         counts.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(
             lambda batch, batch_id: batch.write.mode("overwrite").parquet(
-                f"{path}/batch_id={batch_id}"
+                f"{path}/run={query_id(batch)}/batch_id={batch_id}"
             )
         )
         .trigger(**trigger)
@@ -49,10 +55,11 @@ def write_live(counts: DataFrame, path: str, checkpoint: str, trigger: dict) ->
 
 
 def read_live(spark: SparkSession, path: str) -> DataFrame:
-    """Last count of every bucket."""
-    return (
+    """Every bucket's last count in each stream, summed: a stream with a new checkpoint counts from zero."""
+    last = (
         spark.read.schema(schemas.LIVE_COUNTS)
         .parquet(path)
-        .groupBy("bucket", "category")
+        .groupBy("run", "bucket", "category")
         .agg(F.max_by("messages", "batch_id").alias("messages"))
     )
+    return last.groupBy("bucket", "category").agg(F.sum("messages").alias("messages"))

@@ -248,10 +248,22 @@ def src_kafka_messages(spark, sf_dir):
     return spark.read.schema("source string, text string, created_at string, id string").parquet(path)
 
 
+def _two_streams(spark, sf_dir):
+    """A log that two streams, each with a checkpoint of its own, drain half of the messages into; both number
+    their batches from 0."""
+    log = storage.fresh_dir(spark, "log")
+    for half in (0, 1):
+        path = storage.fresh_dir(spark, "topic")
+        inputs.values(spark, sf_dir).where(F.col("doc_id") % 2 == half).select("value").write.text(path)
+        stream = messages.file_stream(spark, path)
+        ingest.ingest(stream, log, storage.fresh_dir(spark, "checkpoint"), inputs.DRAIN).awaitTermination()
+    return log
+
+
 @register("sink_stream_staging", f"""WITH {_DECODED}
 SELECT {sql.message_key('text')} AS message_key, source, created_at, text FROM decoded WHERE text IS NOT NULL""")
 def sink_stream_staging(spark, sf_dir):
-    log = staging.read_log(spark, inputs.drained_log(spark, sf_dir))
+    log = staging.read_log(spark, _two_streams(spark, sf_dir))
     return log.select("message_key", "source", "created_at", "text")
 
 
@@ -259,7 +271,7 @@ def sink_stream_staging(spark, sf_dir):
 SELECT CASE WHEN text IS NULL THEN 'rejected' ELSE 'message' END AS kind, count(*) AS row_count,
   count(DISTINCT text) AS keys FROM decoded GROUP BY ALL""")
 def stream_ingest(spark, sf_dir):
-    path = inputs.drained_log(spark, sf_dir)
+    path = _two_streams(spark, sf_dir)
     accepted = staging.read_log(spark, path).select("kind", "message_key")
     rejected = staging.read_rejected(spark, path).select(
         F.lit(staging.REJECTED).alias("kind"), F.lit(None).cast("string").alias("message_key")
@@ -291,12 +303,16 @@ FROM events GROUP BY ALL"""
 
 @register("stream_live_rollup", _HOURLY)
 def stream_live_rollup(spark, sf_dir):
+    """Twelve files, newest events first, three to a micro-batch."""
     schema = "event_id bigint, ts timestamp_ntz, event_type string"
-    events = replay.table_stream(spark, sf_dir, "events.parquet", schema)
+    folder = storage.fresh_dir(spark, "events")
+    stored = inputs.table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    stored.repartitionByRange(12, F.desc("ts")).write.parquet(f"{folder}/events")
+    events = replay.table_stream(spark, folder, "events", schema, files_per_batch=3)
     timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
     path = storage.fresh_dir(spark, "live")
     query = live.write_live(
-        live.live_counts(timed, "ts", "event_type", "Hour"),
+        live.live_counts(timed, "ts", "event_type", "Hour", lateness=None),
         path,
         storage.fresh_dir(spark, "checkpoint"),
         inputs.DRAIN,

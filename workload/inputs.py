@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 
 from textpulse import storage
 from textpulse.functions.keys import message_key
+from textpulse.operators import staging
 from textpulse.operators.star import Star
 from textpulse.plans import etl, training
 from textpulse.session import use_utc
 from textpulse.sinks import publish
-from textpulse.sources import messages as topic
 from textpulse.sources.warehouse import Warehouse
-from textpulse.streaming.ingest import ingest
 
 RUN_TS = "2024-02-01 00:00:00"
 BATCHES = 4
@@ -156,7 +155,7 @@ def staging_log(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         rows = staged(spark, sf_dir)
         kind = F.when(F.col("text").isNull(), "rejected").otherwise("message")
-        rows.withColumn("kind", kind).write.partitionBy("batch_id", "kind").parquet(path)
+        rows.withColumn("kind", kind).write.partitionBy("batch_id", "kind").parquet(f"{path}/run={staging.LOADS}")
 
     return _once(spark, sf_dir, "log", write)
 
@@ -193,17 +192,6 @@ def published(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
-def drained_log(spark: SparkSession, sf_dir: str) -> str:
-    """Staging log that the ingest stream wrote from the published messages."""
-
-    def write(path: str) -> None:
-        stream = topic.file_stream(spark, published(spark, sf_dir))
-        checkpoint = storage.fresh_dir(spark, "checkpoint")
-        ingest(stream, path, checkpoint, DRAIN).awaitTermination()
-
-    return _once(spark, sf_dir, "drained", write)
-
-
 def training_csv(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         rows = training_set(spark, sf_dir)
