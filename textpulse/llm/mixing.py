@@ -17,7 +17,7 @@ SHARE = 1.5
 MOST_PASSES = 2
 BLOCK_WORDS = 128
 SHARD_BLOCKS = 4096
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 8_000
 SEED = 17
 SLOTS_PER_TASK = 100_000
 _CHUNK = 16_384
