@@ -116,17 +116,39 @@ def test_load(loaded):
     assert rows[""].word_count == 0 and rows[""].topic_name == "Other"
 
 
-def test_later_loads_add_only_new_messages(spark, warehouse):
+def test_later_loads_add_new_and_changed_messages(spark, warehouse):
     target, log = warehouse
     before = counts(target)
     etl.load(spark, log, target, by_word, "2024-03-01 00:00:00")
     assert counts(target) == before
     etl.write_log_batch(log_rows(spark, SECOND), log, 1)
     etl.load(spark, log, target, by_word, RUN, since_batch=0)
-    assert counts(target) == {"dim_source": 3, "dim_date": 4, "dim_topic": 4, "fact_sentiment": 5}
+    # A changed message brings its new source and day along, as one load of both batches does.
+    assert counts(target) == {"dim_source": 4, "dim_date": 5, "dim_topic": 4, "fact_sentiment": 5}
     assert Star.of(target).joined().count() == 5
 
 
+def facts_of(target):
+    joined = Star.of(target).joined().select("text", "source_name", F.col("created_at").cast("string").alias("at"))
+    return sorted(map(tuple, joined.collect()))
+
+
+def test_facts_follow_changed_messages(spark, warehouse):
+    """Two loads equal one; the day a message has left keeps its other facts or goes."""
+    target, log = warehouse
+    etl.write_log_batch(log_rows(spark, SECOND + [("plain words here", "y", None, 3)]), log, 1)
+    for since in (0, 0, None):
+        etl.load(spark, log, target, by_word, RUN, since_batch=since)
+    whole = Warehouse(spark, storage.fresh_dir(spark, "test-star"))
+    etl.load(spark, log, whole, by_word, RUN)
+    assert facts_of(target) == facts_of(whole)
+    assert ("bad game", "q", "2024-01-09 00:00:00") in facts_of(target)
+    etl.write_log_batch(log_rows(spark, [("bad movie", "z", "2024-01-10 00:00:00", 1)]), log, 2)
+    etl.load(spark, log, target, by_word, RUN, since_batch=1)
+    days = {row.date_id for row in target.facts.select("date_id").collect()}
+    assert 20240110 in days and 20240108 not in days and target.facts.count() == 5
+
+
 def test_empty_log(spark):
     log = storage.fresh_dir(spark, "test-log")
     etl.write_log_batch(log_rows(spark, []), log, 0)

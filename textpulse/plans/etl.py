@@ -8,18 +8,18 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textpulse import storage
-from textpulse.functions import text
+from textpulse import rules, storage
+from textpulse.functions import dates, keys, text
 from textpulse.operators import dimensions, enrich, staging
 from textpulse.session import use_utc
-from textpulse.sinks.tables import append_dimension, append_facts, not_yet_in
+from textpulse.sinks.tables import append_dimension, append_facts, known, remove_facts
 from textpulse.sources.warehouse import Warehouse
 
 Scorer = Callable[[DataFrame], DataFrame]
 
 LOADED = [
     "message_key", "source", "topic_name", "created_ts", "raw_text",
-    "word_count", "hashtags_count", "prediction",
+    "word_count", "hashtags_count", "prediction", "replaces",
 ]
 
 
@@ -36,6 +36,20 @@ def model_scorer(model: PipelineModel, clean: str = "train") -> Scorer:
     return score
 
 
+def new_or_changed(current: DataFrame, facts: DataFrame, log: DataFrame) -> DataFrame:
+    """Messages the facts lack, or hold with another source or time; ``replaces`` is the day of the old
+    fact. A time that cannot be read is no change: it would be the clock of each load anew."""
+    loaded = facts.select(
+        F.col("fact_id").alias("message_key"), F.col("source_id").alias("_source_id"),
+        F.col("created_at").alias("_created_ts"), F.col("date_id").alias("replaces"),
+    )
+    met = current.join(known(loaded, "message_key", log), "message_key", "left")
+    source = keys.surrogate_key(F.coalesce("source", F.lit(rules.UNKNOWN_SOURCE)))
+    time = dates.to_second(F.try_to_timestamp("created_at"))
+    moved = (source != F.col("_source_id")) | F.coalesce(time != F.col("_created_ts"), F.lit(False))
+    return met.where(F.col("replaces").isNull() | moved).drop("_source_id", "_created_ts")
+
+
 def load(
     spark: SparkSession,
     log_path: str,
@@ -45,19 +59,19 @@ def load(
     since_batch: int | None = None,
     since_run: str = staging.LOADS,
 ) -> None:
-    """Loads what the warehouse does not hold yet; a second run adds nothing.
+    """Loads what the warehouse does not hold yet or holds otherwise; a second run changes nothing.
 
     Known messages leave before any cleaning or scoring. The prepared rows are written once to
     scratch: the dimensions then read a few narrow columns of it and the facts the rest. Dimensions
-    go first, so no fact ever lacks its dimension row.
+    go first, so no fact ever lacks its dimension row. Old facts of changed messages go before the new
+    ones come: a load that is cut short between the two is mended by the next over the same batches.
     """
     use_utc(spark)
     warehouse.create()
     log = staging.read_log(spark, log_path, since_batch, since_run)
     current = staging.current_messages(log)
-    loaded = warehouse.facts.select(F.col("fact_id").alias("message_key"))
-    fresh = not_yet_in(current, loaded, "message_key", log)
-    scratch = storage.fresh_dir(spark, "load")
+    fresh = new_or_changed(current, warehouse.facts, log)
+    scratch, staying = storage.fresh_dir(spark, "load"), storage.fresh_dir(spark, "staying")
     try:
         prepared = storage.materialize(
             scorer(enrich.prepare(fresh, run_ts)).select(*LOADED), scratch
@@ -71,9 +85,14 @@ def load(
         append_dimension(
             warehouse, "dim_topic", dimensions.topic_rows(prepared, run_ts), "topic_name"
         )
+        old = prepared.where("replaces IS NOT NULL").select(
+            F.col("message_key").alias("fact_id"), F.col("replaces").alias("date_id")
+        )
+        remove_facts(warehouse, old, staying)
         append_facts(warehouse, enrich.to_facts(prepared))
     finally:
         storage.delete(spark, scratch)
+        storage.delete(spark, staying)
 
 
 def write_log_batch(messages: DataFrame, log_path: str, batch_id: int) -> None:

@@ -5,19 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textpulse import storage
 from textpulse.sources.warehouse import Warehouse
 
 
-def not_yet_in(new: DataFrame, existing: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """Rows of ``new`` whose key the (far larger) table does not hold; ``keys`` are the keys of
-    ``new``, repeats allowed, from wherever they are cheapest to read.
+def known(existing: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows of a (far larger) table with one of the ``keys``, repeats allowed, to be joined on the key.
 
-    The table is first cut down to the keys at hand. When the load is small Spark broadcasts its
-    keys, the table is scanned for one column and never shuffled; when both are large the two joins
-    share one partitioning on the key.
+    When the load is small Spark broadcasts its keys and the table is scanned without a shuffle; when
+    both are large this join and the next share one partitioning on the key.
     """
-    seen = existing.select(key).join(keys.select(key).distinct(), key, "left_semi")
-    return new.join(seen, key, "left_anti")
+    return existing.join(keys.select(key).distinct(), key, "left_semi")
 
 
 def require_own_keys(rows: DataFrame, table: str, surrogate: str, name: str) -> None:
@@ -47,7 +45,25 @@ def append_facts(warehouse: Warehouse, facts: DataFrame) -> None:
     The rebalance lets AQE split a day that holds much of the load over many tasks, and merge small
     days, so neither one huge task nor a file per task and day comes out.
     """
-    laid_out = facts.hint("rebalance", "date_id").sortWithinPartitions(
-        "date_id", "source_id", "fact_id"
-    )
-    laid_out.write.mode("append").partitionBy("date_id").parquet(warehouse.path("fact_sentiment"))
+    _laid_out(facts).write.mode("append").partitionBy("date_id").parquet(warehouse.path("fact_sentiment"))
+
+
+def _laid_out(facts: DataFrame) -> DataFrame:
+    return facts.hint("rebalance", "date_id").sortWithinPartitions("date_id", "source_id", "fact_id")
+
+
+def remove_facts(warehouse: Warehouse, gone: DataFrame, scratch: str) -> None:
+    """Takes facts out, given as (fact_id, date_id). Only the days they stand in are rewritten, through
+    ``scratch``; the driver sees those days' numbers, of which there are as many as days in the table at most."""
+    days = [row["date_id"] for row in gone.select("date_id").distinct().collect()]
+    if not days:
+        return
+    spark, path = warehouse.spark, warehouse.path("fact_sentiment")
+    held = warehouse.facts.where(F.col("date_id").isin(days))
+    staying = storage.materialize(held.join(gone.select("fact_id"), "fact_id", "left_anti"), scratch)
+    filled = {row["date_id"] for row in staying.select("date_id").distinct().collect()}
+    writer = _laid_out(staying).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("date_id").parquet(path)
+    for day in days:
+        if day not in filled:
+            storage.delete(spark, f"{path}/date_id={day}")
