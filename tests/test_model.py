@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from textpulse.operators import evaluation, staging
 from textpulse.plans import etl, training
 from textpulse.sources.models import load_metrics, load_model
-from workload import inputs, sql
+from workload import inputs, ml_queries, sql
+from workload.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -90,3 +91,9 @@ def test_evaluation_is_one_aggregate(rows):
 
 def test_stop_words_of_the_check_are_sparks(spark):
     assert sql.stop_words() == StopWordsRemover.loadDefaultStopWords("english")
+
+
+def test_document_frequency_is_that_of_the_fitted_stage(spark, sf_dir):
+    model, _ = ml_queries._fitted_idf(spark, sf_dir)
+    counted = {row.bucket: row.doc_freq for row in QUERIES["idf_docfreq"](spark, sf_dir).collect()}
+    assert counted and counted == {bucket: int(n) for bucket, n in enumerate(model.docFreq) if n}

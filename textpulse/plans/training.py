@@ -6,6 +6,8 @@ from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StopWordsRemover
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +62,14 @@ def term_stages() -> list:
     ]
 
 
+def document_frequency(counted: DataFrame) -> DataFrame:
+    """(bucket, doc_freq) from hashed term frequencies: rows with each term, summed on the executors into
+    one vector of HASH_BUCKETS numbers, whatever the number of rows."""
+    present = counted.agg(Summarizer.numNonZeros(F.col("rawFeatures")).alias("present"))
+    exploded = present.select(F.posexplode(vector_to_array("present")).alias("bucket", "doc_freq"))
+    return exploded.where("doc_freq > 0").select(*[F.col(c).cast("bigint").alias(c) for c in exploded.columns])
+
+
 def weighting() -> IDF:
     return IDF(inputCol="rawFeatures", outputCol="features")
 

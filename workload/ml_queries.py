@@ -97,13 +97,8 @@ def _fitted_idf(spark, sf_dir):
 
 @register("idf_docfreq")
 def idf_docfreq(spark, sf_dir):
-    """Document frequency per hashed term, as the fitted stage holds it: one number per bucket,
-    whatever the number of documents."""
-    model, _ = _fitted_idf(spark, sf_dir)
-    frequencies = enumerate(int(n) for n in model.docFreq)
-    return spark.createDataFrame(
-        [pair for pair in frequencies if pair[1]], "bucket bigint, doc_freq bigint"
-    )
+    """Document frequency per hashed term, counted on the executors; a test compares it with the fitted stage."""
+    return training.document_frequency(PipelineModel(training.term_stages()).transform(_labelled(spark, sf_dir)))
 
 
 @register("ml_idf")
