@@ -211,7 +211,7 @@ def negative_examples(spark, sf_dir):
 
 # Jobs
 
-_TOP = """SELECT '{panel}' AS panel, NULL::TIMESTAMP AS bucket, {name} AS name, n::DOUBLE AS value FROM
+_TOP = """SELECT '{panel}' AS panel, NULL::TIMESTAMP AS bucket, {name} AS name, n::DOUBLE AS value, NULL AS text FROM
   (SELECT {name}, count(*) AS n FROM facts {where} GROUP BY ALL ORDER BY n DESC, {name} LIMIT {limit})"""
 _NEGATIVE = "WHERE sentiment_class = 'negative'"
 
@@ -220,18 +220,19 @@ _NEGATIVE = "WHERE sentiment_class = 'negative'"
   count(*) FILTER (sentiment_class = 'positive') / count(*) AS positive_rate,
   count(*) FILTER (sentiment_class = 'negative') / count(*) AS negative_rate,
   avg(sentiment_score) AS avg_score, avg(word_count) + 3 * avg(hashtags_count) AS engagement FROM facts)
-SELECT 'kpis' AS panel, NULL::TIMESTAMP AS bucket, name, round(value, 6) AS value FROM
+SELECT 'kpis' AS panel, NULL::TIMESTAMP AS bucket, name, round(value, 6) AS value,
+  NULL::VARCHAR AS text FROM
   (SELECT messages::DOUBLE AS messages, positive_rate, negative_rate, avg_score, engagement FROM measures)
   UNPIVOT (value FOR name IN (messages, positive_rate, negative_rate, avg_score, engagement))
-UNION ALL SELECT 'over_time', bucket, sentiment, n::DOUBLE FROM
+UNION ALL SELECT 'over_time', bucket, sentiment, n::DOUBLE, NULL FROM
   (SELECT {sql.bucket('created_at', 'Hour')} AS bucket, {_COUNTS} FROM facts GROUP BY ALL)
   UNPIVOT (n FOR sentiment IN (negative, positive, neutral))
-UNION ALL SELECT 'class_shares', NULL, sentiment_class, round(count(*) / sum(count(*)) OVER (), 6)
+UNION ALL SELECT 'class_shares', NULL, sentiment_class, round(count(*) / sum(count(*)) OVER (), 6), NULL
   FROM facts GROUP BY sentiment_class
 UNION ALL {_TOP.format(panel='top_topics', name='topic_name', where='', limit=10)}
 UNION ALL {_TOP.format(panel='top_negative_topics', name='topic_name', where=_NEGATIVE, limit=5)}
 UNION ALL {_TOP.format(panel='top_negative_sources', name='source_name', where=_NEGATIVE, limit=5)}
-UNION ALL SELECT 'negative_examples', created_at, source_name || ' / ' || topic_name, length(text)::DOUBLE
+UNION ALL SELECT 'negative_examples', created_at, source_name || ' / ' || topic_name, NULL, text
   FROM (SELECT * FROM facts {_NEGATIVE} {_NEWEST} LIMIT 10)"""))
 def job_bi(spark, sf_dir):
     """The page's panels, one under the other."""
@@ -248,7 +249,8 @@ def job_bi(spark, sf_dir):
         "negative_examples": panels["negative_examples"].selectExpr(
             "created_at AS bucket",
             "source_name || ' / ' || topic_name AS name",
-            "length(text) AS value",
+            "CAST(NULL AS DOUBLE) AS value",
+            "text",
         ),
     }
     for panel, name, measure in (
@@ -260,7 +262,10 @@ def job_bi(spark, sf_dir):
             "CAST(NULL AS TIMESTAMP) AS bucket", f"{name} AS name", f"{measure} AS value"
         )
     rows = [
-        panel.select(F.lit(name).alias("panel"), "bucket", "name", F.col("value").cast("double").alias("value"))
+        panel.select(
+            F.lit(name).alias("panel"), "bucket", "name", F.col("value").cast("double").alias("value"),
+            F.col("text") if "text" in panel.columns else F.lit(None).cast("string").alias("text"),
+        )
         for name, panel in flat.items()
     ]
     page = rows[0]
