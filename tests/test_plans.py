@@ -10,7 +10,7 @@ from textpulse.operators.star import Criteria, drill_down
 from workload import inputs
 from workload.registry import QUERIES
 
-STREAMS_AND_MODELS = ("stream", "ml_", "job_", "sink_", "src_", "idf_")
+STREAMS_AND_MODELS = ("stream", "ml_", "job_", "sink_", "src_")
 
 
 def plan_of(df):
