@@ -47,6 +47,29 @@ def test_links_and_components(spark):
     assert neighbours.near_duplicates(table.limit(0)).count() == 0
 
 
+def two_groups(size=20, dim=64):
+    """Two groups whose members are closer to their own than to the other group, though all are linked."""
+    rng = np.random.default_rng(9)
+    axis = rng.standard_normal((2, dim))
+    axis[0] /= np.linalg.norm(axis[0])
+    axis[1] -= (axis[1] @ axis[0]) * axis[0]
+    axis[1] /= np.linalg.norm(axis[1])
+    turn = np.arccos(0.96)
+    centres = [axis[0], np.cos(turn) * axis[0] + np.sin(turn) * axis[1]]
+    return [c + 0.005 * rng.standard_normal(dim) for c in centres for _ in range(size)]
+
+
+def test_links_between_groups_with_full_lists(spark):
+    rng = np.random.default_rng(1)
+    values = [[float(x) for x in v] for v in [*two_groups(), *rng.standard_normal((100, 64))]]
+    near = brute(values)
+    assert near[:20, 20:40].sum() > 300
+    table = spark.createDataFrame(list(enumerate(values)), "vec_id long, embedding array<double>").repartition(3)
+    got = {r.vec_id: r for r in neighbours.near_duplicates(table).collect()}
+    assert [got[i].n_links for i in range(len(values))] == near.sum(1).tolist()
+    assert {got[i].component_id for i in range(40)} == {0}
+
+
 def test_component_counts_are_exact_over_tiles(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "TILE", 16)
     values = vectors()[300:]

@@ -1,7 +1,8 @@
 """Near-duplicate vectors by NN-descent.
 
 A graph of neighbour lists is refined by joining neighbours of neighbours, audited against brute force on a
-sample, and cut at the threshold. Where lists are full of links they are enlarged to the whole component.
+sample, and cut at the threshold. Where lists are full of links, further lists hold the nearest vectors of other
+components until none is a link, and then all lists are enlarged to the whole component.
 """
 
 from __future__ import annotations
@@ -54,14 +55,16 @@ def _matrix(blobs: pa.ChunkedArray | pa.Array | list, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.float64).reshape(-1, dim)
 
 
-def _best(sims: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of the ``keep`` largest of every row, the diagonal aside."""
-    np.fill_diagonal(sims, -2.0)
+def _best(sims: np.ndarray, keep: int, root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the ``keep`` largest of every row, those of its own root aside."""
+    sims[root[:, None] == root[None, :]] = -2.0
     keep = min(keep, len(sims) - 1)
     if keep < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    columns = np.argpartition(-sims, keep - 1, axis=1)[:, :keep]
-    return np.repeat(np.arange(len(sims)), keep), columns.ravel()
+    columns = np.argpartition(-sims, keep - 1, axis=1)[:, :keep].ravel()
+    rows = np.repeat(np.arange(len(sims)), keep)
+    other = sims[rows, columns] > -2.0
+    return rows[other], columns[other]
 
 
 def _leaves(trees: list[int], bits: int) -> Callable:
@@ -79,8 +82,8 @@ def _leaves(trees: list[int], bits: int) -> Callable:
                     else:
                         leaf = np.zeros(len(x), np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(x), tree, np.int32)), some.column("dim"), pa.array(leaf), some.column("node"), some.column("vec")],
-                        names=["tree", "dim", "leaf", "node", "vec"],
+                        [pa.array(np.full(len(x), tree, np.int32)), some.column("dim"), pa.array(leaf), some.column("node"), some.column("root"), some.column("vec")],
+                        names=["tree", "dim", "leaf", "node", "root", "vec"],
                     )
 
     return deal
@@ -97,14 +100,14 @@ def _edges(a, b, sim) -> pa.Table:
 def _leaf_lists(keep: int) -> Callable:
     def lists(table: pa.Table) -> pa.Table:
         """Best neighbours inside each leaf of a bucket of leaves."""
-        frame = table.select(["tree", "dim", "leaf", "sub", "node"]).to_pandas()
+        frame = table.select(["tree", "dim", "leaf", "sub", "node", "root"]).to_pandas()
         vec = table.column("vec").to_pylist()
         out = [], [], []
         for (_, dim, _, _), at in frame.groupby(["tree", "dim", "leaf", "sub"]).indices.items():
             x = _matrix([vec[i] for i in at], int(dim))
             node = frame["node"].to_numpy()[at]
             sims = x @ x.T
-            row, column = _best(sims, keep)
+            row, column = _best(sims, keep, frame["root"].to_numpy()[at])
             for o, values in zip(out, (node[row], node[column], sims[row, column])):
                 o.append(values)
         return _edges(*[np.concatenate(o) if o else [] for o in out])
@@ -116,7 +119,7 @@ def _local_join(table: pa.Table) -> pa.Table:
     """Neighbours of one centre meet each other; a pair goes on if it betters either side's list."""
     centre = table.column("centre").to_numpy()
     order = np.argsort(centre, kind="stable")
-    node, worst, dim = (table.column(c).to_numpy()[order] for c in ("node", "worst", "dim"))
+    node, root, worst, dim = (table.column(c).to_numpy()[order] for c in ("node", "root", "worst", "dim"))
     fresh = table.column("fresh").to_numpy(zero_copy_only=False)[order]
     vec = table.column("vec").to_pylist()
     centre = centre[order]
@@ -128,7 +131,7 @@ def _local_join(table: pa.Table) -> pa.Table:
         x = _matrix([vec[i] for i in order[s:e]], int(dim[s]))
         sims = x @ x.T
         better = (sims > worst[s:e][:, None]) & (fresh[s:e][:, None] | fresh[s:e][None, :])
-        np.fill_diagonal(better, False)
+        better &= root[s:e][:, None] != root[s:e][None, :]
         row, column = np.nonzero(better)
         for o, values in zip(out, (node[s:e][row], node[s:e][column], sims[row, column])):
             o.append(values)
@@ -146,10 +149,11 @@ def _top(edges: DataFrame, keep: int) -> DataFrame:
 
 
 class Graph:
-    """Neighbour lists (a, b, sim, new, place) over written ``nodes`` (node, dim, vec)."""
+    """Neighbour lists (a, b, sim, new, place) over written ``nodes`` (node, root, dim, vec): only vectors of
+    different roots are neighbours. ``paths`` (a, b) are further ways from node to node that a descent goes."""
 
-    def __init__(self, nodes: DataFrame, keep: int = LIST):
-        self.nodes, self.keep, self.spark = nodes, keep, nodes.sparkSession
+    def __init__(self, nodes: DataFrame, keep: int = LIST, paths: DataFrame | None = None):
+        self.nodes, self.keep, self.paths, self.spark = nodes, keep, paths, nodes.sparkSession
         self.n = nodes.count()
         self.buckets = max(8, self.n // 2_000)
         self.lists: DataFrame | None = None
@@ -161,7 +165,7 @@ class Graph:
         """Starts, or adds to, the lists from leaves of random trees. A crowded leaf, which may be one group of
         near copies, is dealt out into parts of MOST_LEAF: descent finds what lies across them."""
         bits = max(0, math.ceil(math.log2(max(self.n, 1) / LEAF)))
-        dealt = self.nodes.mapInArrow(_leaves(trees, bits), "tree int, dim int, leaf long, node long, vec binary")
+        dealt = self.nodes.mapInArrow(_leaves(trees, bits), "tree int, dim int, leaf long, node long, root long, vec binary")
         leaf = ["tree", "dim", "leaf"]
         crowded = self._write(
             dealt.drop("vec").groupBy(*leaf).count().where(F.col("count") > MOST_LEAF).select(
@@ -188,6 +192,8 @@ class Graph:
         )
         back = back.withColumn("place", chance).where(F.col("place") <= BACKWARD).drop("place")
         own = self.nodes.select(F.col("node").alias("centre"), "node", F.lit(True).alias("new"))
+        if self.paths is not None:
+            sides = sides.unionByName(self.paths.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.lit(False).alias("new")))
         around = sides.unionByName(back).groupBy("centre", "node").agg(F.max("new").alias("fresh"))
         around = around.unionByName(own.select("centre", "node", F.lit(False).alias("fresh")))
         around = around.join(self.nodes, "node").join(worst, "node", "left").withColumn("worst", F.coalesce("worst", F.lit(-2.0)))
@@ -197,6 +203,11 @@ class Graph:
         self.lists = self._write(_top(found.unionByName(old), self.keep), "lists")
         return self.lists.where("new").count()
 
+    def refine(self) -> None:
+        for _ in range(DESCENTS):
+            if self.descend() <= FEW_UPDATES * self.n * self.keep:
+                break
+
     def links(self, threshold: float) -> DataFrame:
         """(a, b) both ways round, once each."""
         close = self.lists.where(F.col("sim") >= threshold).select("a", "b")
@@ -290,9 +301,10 @@ def component_links(members: DataFrame, threshold: float = THRESHOLD) -> DataFra
     return settled.unionByName(counted).groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def audit(nodes: DataFrame, links: DataFrame, threshold: float = THRESHOLD, sample: int = AUDIT_VECTORS) -> float:
-    """Share of the true links of ``sample`` vectors that ``links`` has, true ones by comparing the sample with
-    every vector; 1 where it has none. Of a full list only what it could hold is asked for."""
+def audit(nodes: DataFrame, counts: DataFrame, threshold: float = THRESHOLD, sample: int = AUDIT_VECTORS) -> float:
+    """Mean share of its true links that a sampled vector has in ``counts`` (node, links), true ones by comparing
+    ``sample`` of ``nodes`` (node, dim, vec, weight) with every vector; 1 where none has any. Both count the
+    weights of other nodes, and no link is counted that is not one."""
     spark = nodes.sparkSession
     chosen = nodes.orderBy(F.xxhash64(F.lit(SEED), "node"), "node").limit(sample).toPandas()
     if chosen.empty:
@@ -306,20 +318,76 @@ def audit(nodes: DataFrame, links: DataFrame, threshold: float = THRESHOLD, samp
                 some = batch.filter(pa.compute.equal(batch.column("dim"), pa.scalar(int(dim), pa.int32())))
                 if not some.num_rows:
                     continue
-                node = some.column("node").to_numpy()
+                node, ask = some.column("node").to_numpy(), part["node"].to_numpy()
                 near = _matrix(list(part["vec"]), int(dim)) @ _matrix(some.column("vec"), int(dim)).T >= threshold
-                counts = near.sum(1) - np.isin(part["node"].to_numpy(), node)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part["node"].to_numpy()), pa.array(counts.astype(np.int64))], names=["a", "wanted"]
-                )
+                near &= ask[:, None] != node[None, :]
+                wanted = near.astype(np.int64) @ some.column("weight").to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(ask), pa.array(wanted)], names=["node", "wanted"])
+
+    truth = nodes.mapInArrow(true_links, "node long, wanted long").groupBy("node").agg(F.sum("wanted").alias("wanted"))
+    share = F.least(F.coalesce("links", F.lit(0)) / F.col("wanted"), F.lit(1.0))
+    row = truth.where("wanted > 0").join(counts, "node", "left").agg(F.avg(share).alias("recall")).first()
+    return 1.0 if row["recall"] is None else row["recall"]
 
-    truth = nodes.mapInArrow(true_links, "a long, wanted long").groupBy("a").agg(F.sum("wanted").alias("wanted"))
-    found = links.join(truth.where("wanted > 0").select("a"), "a", "left_semi").groupBy("a").agg(F.count(F.lit(1)).alias("found"))
-    due = F.least("wanted", F.lit(LIST))
-    row = truth.join(found, "a", "left").agg(
-        F.sum(due).alias("due"), F.sum(F.least(F.coalesce("found", F.lit(0)), due)).alias("got")
-    ).first()
-    return 1.0 if not row["due"] else row["got"] / row["due"]
+
+def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
+    return storage.materialize(
+        classes.select("node", "least").join(connected(links), "node", "left").select(
+            "node", F.coalesce("component", "node").alias("root"), "least"
+        ),
+        storage.fresh_dir(classes.sparkSession, "members"),
+    )
+
+
+def joined_components(
+    graph: Graph, classes: DataFrame, links: DataFrame, threshold: float, trees: list[int]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(links, members, full): ``links`` and those that full lists had no room for, members (node, root, least) of
+    the components, and the nodes whose list is full of links.
+
+    A link that no list holds has a full list on both sides. Between such nodes lists of the nearest vectors
+    of other components are made, along the old lists too; what they link is joined, until no component is.
+    """
+    spark = graph.spark
+    close = graph.lists.where(F.col("sim") >= threshold)
+    full = close.groupBy(F.col("a").alias("node")).count().where(F.col("count") >= graph.keep).select("node")
+    full = storage.materialize(full, storage.fresh_dir(spark, "full"))
+    member = _components(classes, links)
+    while True:
+        inside = full.join(member, "node").join(classes.select("node", "dim", "vec"), "node")
+        inside = storage.materialize(inside.select("node", "root", "dim", "vec"), storage.fresh_dir(spark, "fullnodes"))
+        if inside.select("root").distinct().limit(2).count() < 2:
+            break
+        paths = close.join(full.withColumnRenamed("node", "a"), "a", "left_semi").join(full.withColumnRenamed("node", "b"), "b", "left_semi")
+        across = Graph(inside, graph.keep, paths.select("a", "b"))
+        across.plant(trees)
+        across.refine()
+        found = storage.materialize(across.links(threshold), storage.fresh_dir(spark, "crosslinks"))
+        if found.isEmpty():
+            break
+        links = storage.materialize(links.unionByName(found), storage.fresh_dir(spark, "veclinks"))
+        member = _components(classes, links)
+    return links, member, full
+
+
+def node_counts(classes: DataFrame, links: DataFrame, member: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
+    """(node, links): the weight of the other vectors linked with each node. Exact inside components with a full list."""
+    spark = classes.sparkSession
+    roots = full.join(member, "node").select("root").distinct()
+    enlarged = storage.materialize(
+        member.join(roots, "root", "left_semi").join(classes.select("node", "dim", "vec", "weight"), "node"),
+        storage.fresh_dir(spark, "enlarged"),
+    )
+    exact = component_links(enlarged.select("root", "node", "dim", "vec", "weight"), threshold)
+    listed = links.join(classes.select(F.col("node").alias("b"), "weight"), "b").groupBy(F.col("a").alias("node")).agg(
+        F.sum("weight").alias("listed")
+    )
+    return storage.materialize(
+        classes.select("node", "weight").join(listed, "node", "left").join(exact, "node", "left").select(
+            "node", F.coalesce(F.col("links") - F.col("weight"), F.col("listed"), F.lit(0)).alias("links")
+        ),
+        storage.fresh_dir(spark, "nodecounts"),
+    )
 
 
 def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -328,7 +396,8 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Equal vectors are one node with a weight, so a group of copies costs one row. Lists of LIST neighbours
     start from random trees and are refined until few entries change; a sample is audited, and as long as too
     few of its links are found more trees are planted. Links are the entries at or above ``threshold``. A list full
-    of links may miss some: all lists of its component are then enlarged to the component, and counted exactly.
+    of links may miss some: components that such lists keep apart are joined first (``joined_components``), then
+    all lists of a component with one are enlarged to the component, and counted exactly.
 
     Defined results: a null or zero vector, and one with a null, infinite or undefined component, links with
     nothing; vectors of different length are not compared; repeated rows are vectors of their own; a null
@@ -347,40 +416,21 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         classes.withColumn("node", F.monotonically_increasing_id()).withColumn("dim", (F.octet_length("vec") / 8).cast("int")),
         storage.fresh_dir(spark, "classes"),
     )
-    graph = Graph(classes.select("node", "dim", "vec"))
-    links = None
+    graph = Graph(classes.select("node", F.col("node").alias("root"), "dim", "vec"))
     for attempt in range(ROUNDS):
-        graph.plant(list(range(attempt * TREES, (attempt + 1) * TREES)))
-        for _ in range(DESCENTS):
-            if graph.descend() <= FEW_UPDATES * graph.n * graph.keep:
-                break
+        trees = list(range(attempt * TREES, (attempt + 1) * TREES))
+        graph.plant(trees)
+        graph.refine()
         links = storage.materialize(graph.links(threshold), storage.fresh_dir(spark, "veclinks"))
-        if audit(graph.nodes, links, threshold) >= RECALL:
+        links, member, full = joined_components(graph, classes, links, threshold, trees)
+        counts = node_counts(classes, links, member, full, threshold)
+        if audit(classes.select("node", "dim", "vec", "weight"), counts, threshold) >= RECALL:
             break
-    member = storage.materialize(
-        classes.select("node", "least").join(connected(links), "node", "left").select(
-            "node", F.coalesce("component", "node").alias("root"), "least"
-        ),
-        storage.fresh_dir(spark, "members"),
-    )
-    full = graph.lists.where(F.col("sim") >= threshold).groupBy(F.col("a").alias("node")).count()
-    full = full.where(F.col("count") >= graph.keep).join(member, "node").select("root").distinct()
-    enlarged = storage.materialize(
-        member.join(full, "root", "left_semi").join(classes.select("node", "dim", "vec", "weight"), "node"),
-        storage.fresh_dir(spark, "enlarged"),
-    )
-    exact = component_links(enlarged.select("root", "node", "dim", "vec", "weight"), threshold)
-    listed = links.join(classes.select(F.col("node").alias("b"), "weight"), "b").groupBy(F.col("a").alias("node")).agg(
-        F.sum("weight").alias("listed")
-    )
     smallest = member.groupBy("root").agg(F.min("least").alias("component_id"))
     per_class = (
         classes.select("name", "node", "weight").join(member.select("node", "root"), "node").join(smallest, "root")
-        .join(listed, "node", "left").join(exact, "node", "left")
-        .select(
-            "name", "component_id",
-            (F.coalesce("links", F.coalesce("listed", F.lit(0)) + F.col("weight")) - 1).alias("n_links"),
-        )
+        .join(counts, "node")
+        .select("name", "component_id", (F.col("links") + F.col("weight") - 1).alias("n_links"))
     )
     return given.select("vec_id", "name").join(per_class, "name", "left").select(
         "vec_id",
