@@ -70,6 +70,34 @@ def test_links_between_groups_with_full_lists(spark):
     assert {got[i].component_id for i in range(40)} == {0}
 
 
+def test_an_audit_goes_on_until_it_sees_links(spark):
+    rng = np.random.default_rng(2)
+    values = list(rng.standard_normal((2_000, 16)))
+    values[1_999] = values[0] + 0.001
+    unit = [v / np.linalg.norm(v) for v in values]
+    nodes = spark.createDataFrame([(i, 16, bytearray(v.tobytes()), 1) for i, v in enumerate(unit)], "node long, dim int, vec binary, weight long")
+    near = brute(values).sum(1).tolist()
+    for lost, want in ((0, 1.0), (1, 0.0)):
+        counts = spark.createDataFrame([(i, 0 if lost else n, False) for i, n in enumerate(near)], "node long, links long, exact boolean")
+        assert neighbours.audit(nodes, counts) == (want, sum(n > 0 for n in near))
+
+
+def test_low_recall_is_raised(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "ROUNDS", 1)
+    monkeypatch.setattr(neighbours, "audit", lambda *_: (0.5, 7))
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(vectors()[:50])], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError, match="recall 0.5"):
+        neighbours.near_duplicates(table)
+
+
+def test_trees_grow_with_their_depth():
+    assert neighbours.trees_for(1_000) >= neighbours.TREES
+    for n in (10**4, 10**6, 10**7):
+        bits = np.ceil(np.log2(n / neighbours.LEAF))
+        meets = (1 - np.arccos(0.95) / np.pi) ** bits
+        assert 1 - (1 - meets) ** neighbours.trees_for(n) >= neighbours.RECALL
+
+
 def test_component_counts_are_exact_over_tiles(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "TILE", 16)
     values = vectors()[300:]

@@ -31,7 +31,10 @@ BACKWARD = 8
 DESCENTS = 3
 FEW_UPDATES = 0.002
 ROUNDS = 4
-AUDIT_VECTORS = 256
+# An audit goes on until it has met so many vectors with links whose component is not counted exactly.
+AUDIT_LINKED = 300
+AUDIT_BLOCK = 256
+MOST_BLOCK = 4_096
 RECALL = 0.98
 TILE = 512
 SEED = 11
@@ -301,15 +304,9 @@ def component_links(members: DataFrame, threshold: float = THRESHOLD) -> DataFra
     return settled.unionByName(counted).groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def audit(nodes: DataFrame, counts: DataFrame, threshold: float = THRESHOLD, sample: int = AUDIT_VECTORS) -> float:
-    """Mean share of its true links that a sampled vector has in ``counts`` (node, links), true ones by comparing
-    ``sample`` of ``nodes`` (node, dim, vec, weight) with every vector; 1 where none has any. Both count the
-    weights of other nodes, and no link is counted that is not one."""
-    spark = nodes.sparkSession
-    chosen = nodes.orderBy(F.xxhash64(F.lit(SEED), "node"), "node").limit(sample).toPandas()
-    if chosen.empty:
-        return 1.0
-    shared = spark.sparkContext.broadcast(chosen)
+def _audit_block(nodes: DataFrame, chosen: pd.DataFrame, threshold: float) -> DataFrame:
+    """(node, wanted): weight of the true links of the chosen nodes, by comparing them with every vector."""
+    shared = nodes.sparkSession.sparkContext.broadcast(chosen)
 
     def true_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = shared.value
@@ -322,12 +319,46 @@ def audit(nodes: DataFrame, counts: DataFrame, threshold: float = THRESHOLD, sam
                 near = _matrix(list(part["vec"]), int(dim)) @ _matrix(some.column("vec"), int(dim)).T >= threshold
                 near &= ask[:, None] != node[None, :]
                 wanted = near.astype(np.int64) @ some.column("weight").to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(ask), pa.array(wanted)], names=["node", "wanted"])
+                met = wanted > 0
+                yield pa.RecordBatch.from_arrays([pa.array(ask[met]), pa.array(wanted[met])], names=["node", "wanted"])
 
-    truth = nodes.mapInArrow(true_links, "node long, wanted long").groupBy("node").agg(F.sum("wanted").alias("wanted"))
-    share = F.least(F.coalesce("links", F.lit(0)) / F.col("wanted"), F.lit(1.0))
-    row = truth.where("wanted > 0").join(counts, "node", "left").agg(F.avg(share).alias("recall")).first()
-    return 1.0 if row["recall"] is None else row["recall"]
+    return nodes.mapInArrow(true_links, "node long, wanted long").groupBy("node").agg(F.sum("wanted").alias("wanted"))
+
+
+def audit(nodes: DataFrame, counts: DataFrame, threshold: float = THRESHOLD, linked: int = AUDIT_LINKED) -> tuple[float, int]:
+    """(recall, seen): mean share of its true links that a vector has in ``counts`` (node, links, exact), and how many
+    vectors with links were seen. Both count the weights of other nodes; no link is counted that is not one.
+
+    Vectors of ``nodes`` (node, dim, vec, weight) are compared with all others in blocks, in random order, until
+    ``linked`` with links were seen outside components counted ``exact``, or every vector was. Vectors inside and
+    outside those are averaged apart and the lower counts, so one large group does not hide lone pairs.
+    """
+    # Hash and node order the vectors; a block starts after the last of the block before.
+    ordered = nodes.withColumn("place", F.xxhash64(F.lit(SEED), "node"))
+    after, size = None, AUDIT_BLOCK
+    share, seen = {True: 0.0, False: 0.0}, {True: 0, False: 0}
+    while seen[False] < linked:
+        rest = ordered if after is None else ordered.where(
+            (F.col("place") > F.lit(after[0])) | ((F.col("place") == F.lit(after[0])) & (F.col("node") > F.lit(after[1])))
+        )
+        chosen = rest.orderBy("place", "node").limit(size).toPandas()
+        if chosen.empty:
+            break
+        after, size = (int(chosen["place"].iloc[-1]), int(chosen["node"].iloc[-1])), min(2 * size, MOST_BLOCK)
+        truth = _audit_block(nodes, chosen.drop(columns="place"), threshold)
+        part = F.least(F.coalesce("links", F.lit(0)) / F.col("wanted"), F.lit(1.0))
+        for row in truth.join(counts, "node").groupBy("exact").agg(F.sum(part).alias("share"), F.count(F.lit(1)).alias("n")).collect():
+            share[row["exact"]] += row["share"]
+            seen[row["exact"]] += row["n"]
+    return min([share[k] / seen[k] for k in seen if seen[k]], default=1.0), sum(seen.values())
+
+
+def trees_for(n: int, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
+    """Trees by which a pair at ``threshold`` meets in a leaf with chance ``recall``: trees of ``n`` vectors grow deeper,
+    and each level parts such a pair with the same chance."""
+    bits = max(0, math.ceil(math.log2(max(n, 1) / LEAF)))
+    meets = (1 - math.acos(threshold) / math.pi) ** bits
+    return TREES if meets >= 1 else max(TREES, math.ceil(math.log(1 - recall) / math.log(1 - meets)))
 
 
 def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -360,7 +391,8 @@ def joined_components(
             break
         paths = close.join(full.withColumnRenamed("node", "a"), "a", "left_semi").join(full.withColumnRenamed("node", "b"), "b", "left_semi")
         across = Graph(inside, graph.keep, paths.select("a", "b"))
-        across.plant(trees)
+        for i in range(0, len(trees), TREES):
+            across.plant(trees[i : i + TREES])
         across.refine()
         found = storage.materialize(across.links(threshold), storage.fresh_dir(spark, "crosslinks"))
         if found.isEmpty():
@@ -371,7 +403,7 @@ def joined_components(
 
 
 def node_counts(classes: DataFrame, links: DataFrame, member: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
-    """(node, links): the weight of the other vectors linked with each node. Exact inside components with a full list."""
+    """(node, links, exact): the weight of the other vectors linked with each node. Exact inside components with a full list."""
     spark = classes.sparkSession
     roots = full.join(member, "node").select("root").distinct()
     enlarged = storage.materialize(
@@ -384,7 +416,8 @@ def node_counts(classes: DataFrame, links: DataFrame, member: DataFrame, full: D
     )
     return storage.materialize(
         classes.select("node", "weight").join(listed, "node", "left").join(exact, "node", "left").select(
-            "node", F.coalesce(F.col("links") - F.col("weight"), F.col("listed"), F.lit(0)).alias("links")
+            "node", F.coalesce(F.col("links") - F.col("weight"), F.col("listed"), F.lit(0)).alias("links"),
+            F.col("links").isNotNull().alias("exact"),
         ),
         storage.fresh_dir(spark, "nodecounts"),
     )
@@ -394,8 +427,9 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(vec_id, n_links, component_id, kept), a row per vector row.
 
     Equal vectors are one node with a weight, so a group of copies costs one row. Lists of LIST neighbours
-    start from random trees and are refined until few entries change; a sample is audited, and as long as too
-    few of its links are found more trees are planted. Links are the entries at or above ``threshold``. A list full
+    start from random trees, more of them the deeper they are, and are refined until few entries change; a sample
+    is audited, and as long as too few of its links are found more trees are planted, twice as many each time. If
+    recall stays below RECALL after ROUNDS rounds, it is raised as an error. Links are the entries at or above ``threshold``. A list full
     of links may miss some: components that such lists keep apart are joined first (``joined_components``), then
     all lists of a component with one are enlarged to the component, and counted exactly.
 
@@ -417,15 +451,21 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         storage.fresh_dir(spark, "classes"),
     )
     graph = Graph(classes.select("node", F.col("node").alias("root"), "dim", "vec"))
+    planted, recall = 0, 0.0
     for attempt in range(ROUNDS):
-        trees = list(range(attempt * TREES, (attempt + 1) * TREES))
-        graph.plant(trees)
+        trees = list(range(planted, planted + trees_for(graph.n, threshold) * 2**attempt))
+        planted += len(trees)
+        for i in range(0, len(trees), TREES):
+            graph.plant(trees[i : i + TREES])
         graph.refine()
         links = storage.materialize(graph.links(threshold), storage.fresh_dir(spark, "veclinks"))
         links, member, full = joined_components(graph, classes, links, threshold, trees)
         counts = node_counts(classes, links, member, full, threshold)
-        if audit(classes.select("node", "dim", "vec", "weight"), counts, threshold) >= RECALL:
+        recall, seen = audit(classes.select("node", "dim", "vec", "weight"), counts, threshold)
+        if recall >= RECALL:
             break
+    else:
+        raise RuntimeError(f"recall {recall:.4f} over {seen} vectors with links after {planted} trees; {RECALL} is asked for")
     smallest = member.groupBy("root").agg(F.min("least").alias("component_id"))
     per_class = (
         classes.select("name", "node", "weight").join(member.select("node", "root"), "node").join(smallest, "root")
