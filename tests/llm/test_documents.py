@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import pytest
@@ -257,6 +258,27 @@ def test_license_rules(spark):
     assert [(r.licenses, [m.rule for m in r.matches]) for r in got] == [(n, m) for _, n, m in cases]
 
 
+def test_wrapped_notices_match_every_rule(spark):
+    def wrapped(names, prefix, label):
+        paragraphs = []
+        for i, name in enumerate(names):
+            sentence = licenses.SENTENCES[name]
+            number = f"{i}. " if label and i else ""
+            paragraphs.append("\n".join(prefix + line for line in textwrap.wrap(number + sentence, 70)))
+        return f"{prefix}Copyright 2020 me\n{prefix.rstrip()}\n" + f"\n{prefix.rstrip()}\n".join(paragraphs) + "\nint x;"
+
+    cases = [
+        (wrapped(names, prefix, label), name, i)
+        for i, (name, names) in enumerate(licenses.RULES, 1) for prefix, label in (("", False), (" * ", False), ("# ", True))
+    ]
+    cases.append((" ".join(licenses.SENTENCES[n] for n in licenses.RULES[0][1]), "MIT", 1))
+    cases.append(("It is not\nlicensed under the MIT License here. Nor so: Licensed under CC BY 4.0.", "", None))
+    rows = [(i, t) for i, (t, _, _) in enumerate(cases)]
+    got = sorted(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    want = [(n, [] if r is None else [r]) for _, n, r in cases]
+    assert [(r.licenses, [m.rule for m in r.matches]) for r in got] == want
+
+
 def test_imatch_edits_and_fingerprints(docs, rows, spark):
     got = imatch.edited_report(docs).collect()
     chars = [(r[0], len(r[1] or "")) for r in rows]

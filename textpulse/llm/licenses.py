@@ -61,9 +61,15 @@ RULES = [
     ("Unlicense", ["UNLICENSE"]),
 ]
 
-# A sentence ends at its mark before white space, or with its line.
+# A sentence ends at its mark before white space, or with its line; a known one may go on over lines.
 _BREAK = r"(?<=[.!?])[ \t\r\f]+|[ \t\r\f]*\n\s*"
 _NOT_WORDS = r"[^a-z0-9]+"
+# Between the words of a known sentence: also line ends and comment marks.
+_GAP = r"[^\p{L}\p{N}]++"
+# A known sentence starts the text or a line, or follows a mark, after comment marks and a list number; it ends
+# where its line ends or at a mark, colons and semicolons among them.
+_BEFORE = r"(?:^|\n|(?<=[.!?][\"')\]]{0,3})\s|\G)[^\p{L}\p{N}]{0,200}+(?:(?:\d{1,2}|[a-z]|[ivx]{1,4})[.)]\s++[^\p{L}\p{N}]{0,200}+)?"
+_AFTER = r"(?:[\"')\]]*+[.!?:;]++[\"')\]]*+(?=\s|$)|[^\p{L}\p{N}\n]*+(?=\n|$))"
 
 
 def normal(sentence: Column) -> Column:
@@ -80,6 +86,20 @@ def _numbers() -> dict[str, int]:
     return {name: i + 1 for i, name in enumerate(SENTENCES)}
 
 
+def _put_together(text: Column) -> Column:
+    """``text`` with each known sentence on a line of its own, however it was wrapped, numbered or commented.
+
+    Only a text with the first three words of a known sentence is searched. Those that end in a colon come
+    first, as others may follow on their line.
+    """
+    known = [(s, _normal(s).split()) for s in SENTENCES.values()]
+    starts = "|".join(sorted({_GAP.join(words[:3]) for _, words in known}))
+    whole = text
+    for _, words in sorted(known, key=lambda k: (not k[0].endswith(":"), -len(k[1]))):
+        whole = F.regexp_replace(whole, f"(?i){_BEFORE}{_GAP.join(words)}{_AFTER}", "\n" + " ".join(words) + "\n")
+    return F.when(text.rlike(f"(?i)\\b(?:{starts})"), whole).otherwise(text)
+
+
 def recognised(text: Column) -> Column:
     """Identifier of every sentence of ``text`` in order, 0 for unknown ones; no sentence, no entry.
 
@@ -90,7 +110,7 @@ def recognised(text: Column) -> Column:
     starts = sorted({s.split()[0] for s in known})
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
     may = f"^\\W*(?i:{'|'.join(starts)})\\b"
-    parts = F.split(F.coalesce(text, F.lit("")), _BREAK)
+    parts = F.split(_put_together(F.coalesce(text, F.lit(""))), _BREAK)
     written = F.filter(parts, lambda s: F.trim(s) != "")
     return F.transform(
         written,
