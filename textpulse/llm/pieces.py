@@ -1,6 +1,6 @@
 """Merge-type SentencePiece vocabularies: encoding by a score-ordered agenda, and decoding.
 
-The library gives the vocabulary and checks the work: every segment that a batch meets for the first
+The library gives the vocabulary and checks the work: every part of a text that a worker meets for the first
 time is encoded by both, and a difference raises.
 """
 
@@ -9,9 +9,8 @@ from __future__ import annotations
 import gc
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
 from operator import add
 
 import pandas as pd
@@ -22,10 +21,12 @@ from pyspark.sql import functions as F
 from textpulse.llm.shipping import ship, tidy
 
 SPACE = "▁"
-_SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*")
 MODEL = "piece_bpe_32k.model"
+# Parts up to this length are kept by a worker, this many in each of two generations.
 CACHED_LENGTH = 48
-CACHED_SEGMENTS = 500_000
+CACHED_PARTS = 250_000
+# Parts up to this length keep their agenda as a list, longer ones as a heap.
+LISTED_LENGTH = 32
 
 
 def default_model() -> str:
@@ -60,6 +61,51 @@ def _fields(message: bytes) -> Iterator[tuple[int, object]]:
         at += size
 
 
+def _joinable(pieces: Iterable[str]) -> list[set[str]]:
+    """Sets of characters that stand side by side in some piece, spaces aside. No merge crosses two characters of
+    different sets: its result would be a piece that holds them side by side."""
+    group: dict[str, set[str]] = {}
+    for piece in pieces:
+        bare = piece.lstrip(SPACE)
+        for one, other in zip(bare, bare[1:]):
+            first, second = group.setdefault(one, {one}), group.setdefault(other, {other})
+            if first is not second:
+                small, large = sorted((first, second), key=len)
+                large |= small
+                group.update(dict.fromkeys(small, large))
+    return list({id(g): g for g in group.values()}.values())
+
+
+class _Parts(dict):
+    """What is known of the parts of texts: decimal ids joined by spaces, and decoded bytes. A part that is not at
+    hand is taken over from the older generation, or merged."""
+
+    def __init__(self, model: PieceModel):
+        super().__init__()
+        self.model, self.older, self.fresh = model, {}, {}
+
+    def __missing__(self, part: str) -> tuple[bytes, bytes]:
+        found = self.older.get(part)
+        if found is None:
+            ids = self.fresh[part] = self.model.merge(part)
+            found = b" ".join(map(self.model.decimal.__getitem__, ids)), b"".join(map(self.model.raw.__getitem__, ids))
+        self[part] = found
+        return found
+
+    def settle(self) -> _Parts:
+        """Checks what is new. Long parts go; a full generation becomes the older one."""
+        self.model.check(self.fresh)
+        for part in self.fresh:
+            if len(part) > CACHED_LENGTH:
+                self.pop(part, None)
+        self.fresh = {}
+        if len(self) <= CACHED_PARTS:
+            return self
+        following = _Parts(self.model)
+        following.older, self.older = self, {}
+        return following
+
+
 class PieceModel:
     """A vocabulary of merges with byte fallback, identity normalisation and a leading space."""
 
@@ -90,7 +136,7 @@ class PieceModel:
                 self.raw.append(" ⁇ ".encode())
             else:
                 if SPACE in piece.lstrip(SPACE):
-                    raise ValueError("a piece goes on after a space, so segments would not be independent")
+                    raise ValueError("a piece goes on after a space, so parts would not be independent")
                 self.ids[piece] = i
                 scores[piece] = lib.get_score(i)
                 self.raw.append(piece.replace(SPACE, " ").encode())
@@ -100,17 +146,51 @@ class PieceModel:
         self.bytes_of = set(self.byte_ids)
         self.leading = {i for piece, i in self.ids.items() if piece.startswith(SPACE)}
         self.decimal = [str(i).encode() for i in range(size)]
-        self.cache: dict[str, tuple[int, ...]] = {}
-
-    def merge(self, segment: str) -> tuple[int, ...]:
-        """Ids of one segment: the best-scored adjacent pair is merged first, the leftmost among equals.
+        sets = _joinable(self.ids)
+        runs = "|".join(f"[{re.escape(''.join(sorted(g)))}]+" for g in sorted(sets, key=len, reverse=True))
+        rest = re.escape("".join(sorted(set().union(*sets))))
+        self._part = re.compile(f"{SPACE}*(?:{runs + '|' if runs else ''}[^{SPACE}{rest}])|{SPACE}+")
+        # Starts the texts that the library is asked for, so that it puts no space before a part.
+        self._anchor = next(
+            c for c in "\n\t\x00" if not any(c in g for g in sets) and SPACE + c not in self.ids
+        )
+        self._anchored = len(lib.encode(self._anchor))
+        self.known = _Parts(self)
+
+    def merge(self, part: str) -> tuple[int, ...]:
+        """Ids of one part: of all adjacent pairs on the agenda the best-scored is merged first, the leftmost among equals."""
+        symbols = self._by_list(list(part)) if len(part) <= LISTED_LENGTH else self._by_heap(list(part))
+        ids: list[int] = []
+        for symbol in symbols:
+            found = self.ids.get(symbol)
+            if found is None:
+                ids.extend(self.byte_ids[b] for b in symbol.encode())
+            else:
+                ids.append(found)
+        return tuple(ids)
 
-        The agenda holds every mergeable pair as one number, its score's rank and then its place; an entry
-        whose pair has since got another rank is skipped when it comes up. Time grows with n log n, whatever
-        the segment's length.
+    def _by_list(self, symbols: list[str]) -> list[str]:
+        """The agenda is a list, a rank for each adjacent pair; finding the least of a few beats keeping them in order."""
+        rank_of, never = self.ranks.get, len(self.ranks)
+        agenda = [rank_of(a + b, never) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == never:
+                break
+            i = agenda.index(best)
+            pair = symbols[i] = symbols[i] + symbols.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = rank_of(pair + symbols[i + 1], never)
+            if i:
+                agenda[i - 1] = rank_of(symbols[i - 1] + pair, never)
+        return symbols
+
+    def _by_heap(self, symbols: list[str]) -> list[str]:
+        """The agenda is a heap that holds every mergeable pair as one number, its score's rank and then its place; an
+        entry whose pair has since got another rank is skipped when it comes up. Time grows with n log n.
         """
         rank_of = self.ranks.get
-        symbols = list(segment)
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda = [
@@ -139,63 +219,51 @@ class PieceModel:
                 rank = rank_of(symbols[previous] + pair)
                 if rank is not None:
                     heappush(agenda, rank * n + previous)
-        ids: list[int] = []
-        for symbol in symbols:
-            if symbol:
-                found = self.ids.get(symbol)
-                if found is None:
-                    ids.extend(self.byte_ids[b] for b in symbol.encode())
-                else:
-                    ids.append(found)
-        return tuple(ids)
+        return [s for s in symbols if s]
 
-    def segments(self, text: str) -> list[str]:
-        """Runs of spaces with what follows up to the next space. No piece goes on after a space that
-        follows something else, so no merge crosses a segment's border."""
-        return _SEGMENT.findall(SPACE + text.replace(" ", SPACE)) if text else []
+    def parts(self, text: str) -> list[str]:
+        """Runs of spaces with the joinable characters that follow. No piece goes on after a space that follows
+        something else, and none holds characters of two sets, so no merge crosses a part's border."""
+        return self._part.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
-        """All ids of each text, the end id last. Segments that are not at hand are merged, and checked, once.
+    def joined_all(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """For each text its decimal ids joined by spaces, the end id last, and the bytes they decode to.
 
         Python's search for cycles waits meanwhile: nothing here makes any, and it would walk all lists again and again.
         """
         searching = gc.isenabled()
         gc.disable()
         try:
-            return self._encode_all(texts)
+            out = []
+            known, end = self.known.__getitem__, self.decimal[self.end]
+            for text in texts:
+                found = list(map(known, self.parts(text)))
+                ids = [ids for ids, _ in found]
+                ids.append(end)
+                out.append((b" ".join(ids), b"".join([raw for _, raw in found])[1:]))
+            self.known = self.known.settle()
+            return out
         finally:
             if searching:
                 gc.enable()
 
-    def _encode_all(self, texts: list[str]) -> list[list[int]]:
-        split = [self.segments(t) for t in texts]
-        every = set().union(*split)
-        if len(self.cache) + len(every) > CACHED_SEGMENTS:
-            self.cache.clear()
-        merged = {s: self.merge(s) for s in every.difference(self.cache)}
-        self._check(merged)
-        long = {s: ids for s, ids in merged.items() if len(s) > CACHED_LENGTH}
-        self.cache.update((s, ids) for s, ids in merged.items() if s not in long)
-        known = self.cache.__getitem__
-        out = []
-        for part in split:
-            find = (lambda s: long[s] if s in long else known(s)) if long else known
-            ids = list(chain.from_iterable(map(find, part)))
-            ids.append(self.end)
-            out.append(ids)
-        return out
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """All ids of each text, the end id last."""
+        return [list(map(int, ids.split())) for ids, _ in self.joined_all(texts)]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
 
-    def _check(self, new: dict[str, tuple[int, ...]]) -> None:
-        """Compares with the library, which adds the leading space itself. It adds none to an empty text, so a
-        space on its own cannot be asked for."""
+    def check(self, new: dict[str, tuple[int, ...]]) -> None:
+        """Compares with the library, which adds a leading space itself: to a part without one after an anchor that
+        merges with nothing. It adds none to an empty text, so a space on its own cannot be asked for."""
         asked = [s for s in new if s != SPACE]
-        wanted = self.library.encode([s[1:].replace(SPACE, " ") for s in asked], num_threads=1)
-        for segment, ids in zip(asked, wanted):
-            if list(new[segment]) != ids:
-                raise AssertionError(f"the agenda and the library differ on {segment!r}: {new[segment]} and {ids}")
+        spaced = [s[0] == SPACE for s in asked]
+        texts = [(s[1:] if own else self._anchor + s).replace(SPACE, " ") for s, own in zip(asked, spaced)]
+        wanted = self.library.encode(texts, num_threads=1)
+        for part, own, ids in zip(asked, spaced, wanted):
+            if list(new[part]) != (ids if own else ids[self._anchored :]):
+                raise AssertionError(f"the agenda and the library differ on {part!r}: {new[part]} and {ids}")
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: pieces in a row, the space of a first piece dropped, control ids silent; a byte that belongs to
@@ -236,7 +304,7 @@ _MODELS: dict[str, PieceModel] = {}
 
 
 def model_at(path: str) -> PieceModel:
-    """One model a worker process; its cache of segments lives as long."""
+    """One model a worker process; the parts it keeps live as long."""
     if path not in _MODELS:
         _MODELS[path] = PieceModel(path)
     return _MODELS[path]
@@ -249,11 +317,9 @@ def _digests(path: str | None) -> Callable:
             values = [t or "" for t in texts]
             rows = []
             for start in range(0, len(values), 100):
-                for ids in model.encode_all(values[start : start + 100]):
-                    joined = b" ".join(map(model.decimal.__getitem__, ids))
-                    decoded = model.decode(ids).encode()
+                for ids, decoded in model.joined_all(values[start : start + 100]):
                     rows.append(
-                        (len(ids), hashlib.sha256(joined).hexdigest(), hashlib.sha256(decoded).hexdigest())
+                        (ids.count(b" ") + 1, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest())
                     )
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
             tidy()
