@@ -36,7 +36,7 @@ def test_stages(spark, sf_dir):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(k.split("_")[0] for k in queries.QUERIES) == sorted([*[f"op{n}" for n in range(1, 11)], "pipeline"])
+    assert sorted(k.split("_")[0] for k in queries.QUERIES) == sorted([*[f"op{n}" for n in range(1, 14)], "pipeline"])
 
 
 @pytest.mark.parametrize("number", [2, 3, 5, 7])

@@ -10,14 +10,13 @@ import gc
 import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
-from heapq import heapify, heappop, heappush
-from operator import add
 
 import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textpulse.llm.agenda import merged
 from textpulse.llm.shipping import ship, tidy
 
 SPACE = "▁"
@@ -25,8 +24,6 @@ MODEL = "piece_bpe_32k.model"
 # Parts up to this length are kept by a worker, this many in each of two generations.
 CACHED_LENGTH = 48
 CACHED_PARTS = 250_000
-# Parts up to this length keep their agenda as a list, longer ones as a heap.
-LISTED_LENGTH = 32
 
 
 def default_model() -> str:
@@ -159,7 +156,7 @@ class PieceModel:
 
     def merge(self, part: str) -> tuple[int, ...]:
         """Ids of one part: of all adjacent pairs on the agenda the best-scored is merged first, the leftmost among equals."""
-        symbols = self._by_list(list(part)) if len(part) <= LISTED_LENGTH else self._by_heap(list(part))
+        symbols = merged(list(part), self.ranks)
         ids: list[int] = []
         for symbol in symbols:
             found = self.ids.get(symbol)
@@ -169,58 +166,6 @@ class PieceModel:
                 ids.append(found)
         return tuple(ids)
 
-    def _by_list(self, symbols: list[str]) -> list[str]:
-        """The agenda is a list, a rank for each adjacent pair; finding the least of a few beats keeping them in order."""
-        rank_of, never = self.ranks.get, len(self.ranks)
-        agenda = [rank_of(a + b, never) for a, b in zip(symbols, symbols[1:])]
-        while agenda:
-            best = min(agenda)
-            if best == never:
-                break
-            i = agenda.index(best)
-            pair = symbols[i] = symbols[i] + symbols.pop(i + 1)
-            del agenda[i]
-            if i < len(agenda):
-                agenda[i] = rank_of(pair + symbols[i + 1], never)
-            if i:
-                agenda[i - 1] = rank_of(symbols[i - 1] + pair, never)
-        return symbols
-
-    def _by_heap(self, symbols: list[str]) -> list[str]:
-        """The agenda is a heap that holds every mergeable pair as one number, its score's rank and then its place; an
-        entry whose pair has since got another rank is skipped when it comes up. Time grows with n log n.
-        """
-        rank_of = self.ranks.get
-        n = len(symbols)
-        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        agenda = [
-            rank * n + i
-            for i, rank in enumerate(map(rank_of, map(add, symbols, symbols[1:])))
-            if rank is not None
-        ]
-        heapify(agenda)
-        while agenda:
-            rank, left = divmod(heappop(agenda), n)
-            right = after[left]
-            if right >= n or not symbols[left]:
-                continue
-            pair = symbols[left] + symbols[right]
-            if rank_of(pair) != rank:
-                continue
-            symbols[left], symbols[right] = pair, ""
-            following = after[left] = after[right]
-            if following < n:
-                before[following] = left
-                rank = rank_of(pair + symbols[following])
-                if rank is not None:
-                    heappush(agenda, rank * n + left)
-            previous = before[left]
-            if previous >= 0:
-                rank = rank_of(symbols[previous] + pair)
-                if rank is not None:
-                    heappush(agenda, rank * n + previous)
-        return [s for s in symbols if s]
-
     def parts(self, text: str) -> list[str]:
         """Runs of spaces with the joinable characters that follow. No piece goes on after a space that follows
         something else, and none holds characters of two sets, so no merge crosses a part's border."""

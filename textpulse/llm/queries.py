@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from textpulse.llm import imatch, licenses, mixing, neighbours, passages, pieces, quotes, repeats, sharding, simhash
+from textpulse.llm import (
+    alignment,
+    byte_pairs,
+    imatch,
+    licenses,
+    mixing,
+    neighbours,
+    passages,
+    piece_table,
+    pieces,
+    quotes,
+    repeats,
+    sharding,
+    simhash,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +53,9 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op10_attention_quality"] = _quality
 _register("op8_nn_descent", "embeddings", neighbours.near_duplicates)
+_register("op11_exact_text_alignment", "documents", alignment.alignment_report)
+_register("op12_piece_table_fim", "documents", piece_table.fim_report, piece_table.ORACLE)
+_register("op13_byte_pair_tree", "documents", byte_pairs.digests)
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
