@@ -31,7 +31,7 @@ from textpulse.llm.shipping import ship, tidy
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE = "▁"
 # Bytes of text in a block: what a worker holds at a time. One longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
 # Documents of one text are met in this many groups.
 SALTS = 64
 # A place between a non-space and a space is a token border in both vocabularies.
