@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textpulse import schemas
+from textpulse import schemas, storage
 
 MESSAGE, REJECTED = "message", "rejected"
 # The run of batch loads; the names of streams sort after it.
@@ -25,6 +27,29 @@ def read_log(
     return log.where((F.col("run") > since_run) | same)
 
 
+def batches(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Complete batches (run, number) of a log, in order: those whose folder, or a folder above it, has the mark that
+    Spark leaves when a write is through."""
+    found = []
+    above = storage.names(spark, path)
+    for run in (n for n in above if n.startswith("run=")):
+        inside = storage.names(spark, f"{path}/{run}")
+        marked = "_SUCCESS" in above or "_SUCCESS" in inside
+        for batch in (n for n in inside if n.startswith("batch_id=")):
+            if marked or storage.exists(spark, f"{path}/{run}/{batch}/_SUCCESS"):
+                found.append((run[4:], int(batch[9:])))
+    return sorted(found)
+
+
+def read_batches(spark: SparkSession, path: str, wanted: Collection[tuple[str, int]]) -> DataFrame:
+    """The log's messages in some batches; other folders are not opened."""
+    chosen = F.lit(False)
+    for run in sorted({run for run, _ in wanted}):
+        numbers = [n for r, n in wanted if r == run]
+        chosen = chosen | ((F.col("run") == run) & F.col("batch_id").isin(numbers))
+    return read_log(spark, path).where(chosen)
+
+
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:
     log = spark.read.schema(schemas.STAGING_LOG).parquet(path).where(F.col("kind") == REJECTED)
     return log.select("run", "batch_id", "arrival", "value")

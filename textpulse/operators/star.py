@@ -71,6 +71,7 @@ class Star:
 
     @classmethod
     def of(cls, warehouse: Warehouse) -> Star:
+        warehouse = warehouse.pinned()
         return cls(warehouse.facts, warehouse.sources, warehouse.topics, warehouse.dates)
 
     def register_views(self) -> Star:

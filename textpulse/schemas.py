@@ -49,6 +49,10 @@ FACT = _struct(
     created_at=_TIME, date_id=_LONG,
 )
 
+# Filters over the fact ids of each fact folder, and the staged batches that loads have taken in.
+KEY_FILTERS = _struct(level=_INT, word=_LONG, bits=_LONG, date_id=_LONG)
+LEDGER = _struct(run=_STRING, batch_id=_LONG, load=_STRING)
+
 METRICS = _struct(
     accuracy=DoubleType(), precision=DoubleType(), recall=DoubleType(), f1=DoubleType(),
     confusion_matrix=ArrayType(ArrayType(_LONG)),

@@ -1,21 +1,11 @@
-"""Idempotent appends to the star schema."""
+"""Idempotent additions to the star schema."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textpulse import storage
-from textpulse.sources.warehouse import Warehouse
-
-
-def known(existing: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """Rows of a (far larger) table with one of the ``keys``, repeats allowed, to be joined on the key.
-
-    When the load is small Spark broadcasts its keys and the table is scanned without a shuffle; when
-    both are large this join and the next share one partitioning on the key.
-    """
-    return existing.join(keys.select(key).distinct(), key, "left_semi")
+from textpulse.sources.warehouse import FACTS, Change, Warehouse
 
 
 def require_own_keys(rows: DataFrame, table: str, surrogate: str, name: str) -> None:
@@ -28,42 +18,41 @@ def require_own_keys(rows: DataFrame, table: str, surrogate: str, name: str) ->
         )
 
 
-def append_dimension(warehouse: Warehouse, table: str, rows: DataFrame, key: str) -> None:
+def add_dimension(change: Change, table: str, rows: DataFrame, key: str) -> None:
     """Adds the rows whose ``key`` the table lacks; fails before it writes where two names have one id."""
-    held = warehouse.table(table)
+    held = change.held.table(table)
     surrogate = held.columns[0]
     if key != surrogate:
         both = held.select(surrogate, key).unionByName(rows.select(surrogate, key))
         require_own_keys(both, table, surrogate, key)
-    missing = rows.join(held.select(key), key, "left_anti")
-    missing.select(*warehouse.table(table).columns).write.mode("append").parquet(warehouse.path(table))
+    missing = rows.join(held.select(key), key, "left_anti").select(*held.columns)
+    if change.crowded(table):
+        change.add(table, held.unionByName(missing), instead=True)
+    else:
+        change.add(table, missing)
 
 
-def append_facts(warehouse: Warehouse, facts: DataFrame) -> None:
-    """Files per day, sorted for min/max skipping.
-
-    The rebalance lets AQE split a day that holds much of the load over many tasks, and merge small
-    days, so neither one huge task nor a file per task and day comes out.
-    """
-    _laid_out(facts).write.mode("append").partitionBy("date_id").parquet(warehouse.path("fact_sentiment"))
-
+def append_dimension(warehouse: Warehouse, table: str, rows: DataFrame, key: str) -> None:
+    """``add_dimension`` as a version of its own."""
+    change = Change(warehouse)
+    add_dimension(change, table, rows, key)
+    change.publish()
 
-def _laid_out(facts: DataFrame) -> DataFrame:
-    return facts.hint("rebalance", "date_id").sortWithinPartitions("date_id", "source_id", "fact_id")
 
+def add_facts(change: Change, facts: DataFrame, gone: DataFrame) -> None:
+    """New facts, without those in ``gone`` (fact_id, date_id), which have moved to another day, source or time.
 
-def remove_facts(warehouse: Warehouse, gone: DataFrame, scratch: str) -> None:
-    """Takes facts out, given as (fact_id, date_id). Only the days they stand in are rewritten, through
-    ``scratch``; the driver sees those days' numbers, of which there are as many as days in the table at most."""
-    days = [row["date_id"] for row in gone.select("date_id").distinct().collect()]
-    if not days:
-        return
-    spark, path = warehouse.spark, warehouse.path("fact_sentiment")
-    held = warehouse.facts.where(F.col("date_id").isin(days))
-    staying = storage.materialize(held.join(gone.select("fact_id"), "fact_id", "left_anti"), scratch)
-    filled = {row["date_id"] for row in staying.select("date_id").distinct().collect()}
-    writer = _laid_out(staying).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("date_id").parquet(path)
-    for day in days:
-        if day not in filled:
-            storage.delete(spark, f"{path}/date_id={day}")
+    Only the days that lose facts are written anew, and those in very many folders; other days get one more folder.
+    Days are sorted for min/max skipping. The rebalance lets AQE split a day that holds much of the load over many
+    tasks, and merge small days, so neither one huge task nor a file per task and day comes out. The driver sees
+    numbers of days, of which there are as many as the table has at most.
+    """
+    anew = {row["date_id"] for row in gone.select("date_id").distinct().collect()}
+    crowded = change.crowded(FACTS)
+    if crowded:
+        anew |= crowded.intersection(row["date_id"] for row in facts.select("date_id").distinct().collect())
+    if anew:
+        held = change.held.facts.where(F.col("date_id").isin(sorted(anew)))
+        facts = facts.unionByName(held.join(gone.select("fact_id"), "fact_id", "left_anti"))
+    laid_out = facts.hint("rebalance", "date_id").sortWithinPartitions("date_id", "source_id", "fact_id")
+    change.add_facts(laid_out, anew)

@@ -30,6 +30,37 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in fs.listStatus(where)] if fs.exists(where) else []
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, where = _locate(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, in one step: it is written beside its place and then renamed. Fails where the place is taken, so
+    of two writers one wins and neither is lost from sight. Needs a store that renames in one step."""
+    fs, where = _locate(spark, path)
+    _, beside = _locate(spark, f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}")
+    stream = fs.create(beside, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    jvm = spark.sparkContext._jvm
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.makeQualified(where).toUri(), spark.sparkContext._jsc.hadoopConfiguration()
+    )
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    try:
+        files.rename(beside, where, spark.sparkContext._gateway.new_array(rename, 0))
+    except Exception:
+        fs.delete(beside, False)
+        raise
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, where = _locate(spark, path)
     fs.delete(where, True)
