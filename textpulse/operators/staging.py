@@ -55,8 +55,8 @@ def read_rejected(spark: SparkSession, path: str) -> DataFrame:
     return log.select("run", "batch_id", "arrival", "value")
 
 
-def current_messages(log: DataFrame) -> DataFrame:
-    """Last write per key wins, over all sources.
+def last_writes(log: DataFrame) -> DataFrame:
+    """The last row per key, over all sources.
 
     Spark turns "row number is 1" into a group limit on both sides of the shuffle: however often one
     text repeats, each map task sends a single row for it, so no key is ever gathered. On a log where
@@ -70,7 +70,11 @@ def current_messages(log: DataFrame) -> DataFrame:
     ranked = log.where(F.col("text").isNotNull()).withColumn(
         "place", F.row_number().over(last_first)
     )
-    return ranked.where(F.col("place") == 1).select(
+    return ranked.where(F.col("place") == 1).drop("place")
+
+
+def as_current(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "message_key",
         F.col("text").alias("id"),
         "batch_id",
@@ -79,3 +83,8 @@ def current_messages(log: DataFrame) -> DataFrame:
         "created_at",
         "text",
     )
+
+
+def current_messages(log: DataFrame) -> DataFrame:
+    """Last write per key wins."""
+    return as_current(last_writes(log))

@@ -23,6 +23,9 @@ def _struct(**fields: DataType) -> StructType:
 
 MESSAGE = _struct(source=_STRING, text=_STRING, created_at=_STRING)
 
+# Current messages as a table for SQL users; the text is the key.
+RAW_DATA = _struct(id=_STRING, source=_STRING, text=_STRING, created_at=_STRING)
+
 # Append-only staging log. ``run``, ``batch_id`` and ``kind`` are partition folders; ``arrival``, ``part``,
 # ``position`` and ``line`` say in which order messages of one batch came.
 STAGING_LOG = _struct(

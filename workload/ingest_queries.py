@@ -1,12 +1,13 @@
 """Sources, sinks, staging, dimensions and streams."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from textpulse import storage
-from textpulse.operators import dimensions, enrich, staging, summary
+from textpulse import schemas, storage
+from textpulse.operators import compaction, dimensions, enrich, staging, summary
 from textpulse.plans import adhoc, etl
 from textpulse.sinks import publish
-from textpulse.sources import feeds, files, messages
+from textpulse.sources import catalogue, feeds, files, messages
 from textpulse.sources.warehouse import Warehouse
 from textpulse.streaming import ingest, live, replay
 from workload import inputs, sql
@@ -103,6 +104,21 @@ def staging_current(spark, sf_dir):
     return staging.current_messages(inputs.staged(spark, sf_dir))
 
 
+@register("staging_compacted", f"""WITH {sql.LATEST}
+SELECT message_key, id, batch_id, arrival, source, created_at, text FROM latest""")
+def staging_compacted(spark, sf_dir):
+    """The log compacted while it grows: two batches become a run, the third another and both are merged; the last
+    batch is still in no run."""
+    log = storage.fresh_dir(spark, "grows")
+    compacted = compaction.CompactedLog(spark, log, storage.fresh_dir(spark, "runs"), buckets=8, fan_in=2)
+    rows = staging.read_log(spark, inputs.staging_log(spark, sf_dir))
+    for wave in ("batch_id < 2", "batch_id = 2", "batch_id = 3"):
+        rows.where(wave).write.mode("append").partitionBy("run", "batch_id", "kind").parquet(log)
+        if wave != "batch_id = 3":
+            compacted.compact()
+    return compacted.current()
+
+
 # Dimensions
 
 _DIM_OF = "WITH {facts}, {dims} SELECT * FROM {name}"
@@ -184,6 +200,49 @@ def sink_fact_append(spark, sf_dir):
     )
 
 
+@register("load_ledger", """SELECT DISTINCT 'loads' AS run, doc_id % 4 AS batch_id,
+  CASE WHEN doc_id % 4 < 2 THEN 1::BIGINT ELSE 2 END AS load_number FROM documents""")
+def load_ledger(spark, sf_dir):
+    """Which load took in which batch, after three loads of a growing log; the third found nothing new."""
+    target = Warehouse(spark, storage.fresh_dir(spark, "ledger"))
+    log = storage.fresh_dir(spark, "waves")
+    rows = spark.read.schema(schemas.STAGING_LOG).parquet(inputs.staging_log(spark, sf_dir))
+    for wave in ("batch_id < 2", "batch_id >= 2", "false"):
+        rows.where(wave).write.mode("append").partitionBy("run", "batch_id", "kind").parquet(log)
+        etl.load(spark, log, target, inputs.scorer(spark, sf_dir), inputs.RUN_TS)
+    loads = target.ledger()
+    return loads.select("run", "batch_id", F.dense_rank().over(Window.orderBy("load")).cast("bigint").alias("load_number"))
+
+
+def _catalogue(spark):
+    place = storage.fresh_dir(spark, "catalogue")
+    return catalogue.Catalogue(spark, f"textpulse_{place[-12:]}", place).create()
+
+
+@register("sink_default_now", f"""WITH {sql.FACTS}, {sql.DIMS}
+SELECT 'dim_source' AS dim, count(*) AS row_count, count(*) AS stamped FROM dim_source
+UNION ALL SELECT 'dim_topic', count(*), count(*) FROM dim_topic
+UNION ALL SELECT 'dim_date', count(*), count(*) FROM dim_date""")
+def sink_default_now(spark, sf_dir):
+    """Inserts that do not name the load time: rows, and those whose time is the insert's own."""
+    tables, prepared = _catalogue(spark), _prepared(spark, sf_dir)
+    started = spark.sql("SELECT current_timestamp() AS t").first()["t"]
+    made = {
+        "dim_source": (dimensions.source_rows(prepared, inputs.RUN_TS), "source_id"),
+        "dim_topic": (dimensions.topic_rows(prepared, inputs.RUN_TS), "topic_id"),
+        "dim_date": (dimensions.date_rows(prepared, inputs.RUN_TS), "date_id"),
+    }
+    out = []
+    for name, (rows, key) in made.items():
+        for _ in range(2):
+            tables.insert_missing(name, rows.drop("load_dt"), key)
+        out.append(tables.table(name).select(F.lit(name).alias("dim"), "load_dt"))
+    stamped = (F.col("load_dt") >= F.lit(started)) & (F.col("load_dt") <= F.current_timestamp())
+    return feeds.all_messages(*out).groupBy("dim").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(stamped).alias("stamped")
+    )
+
+
 @register("sink_default_load_dt", f"""WITH {sql.FACTS}, {sql.DIMS}
 SELECT 'dim_source' AS dim, load_dt, count(*) AS row_count FROM dim_source GROUP BY ALL
 UNION ALL SELECT 'dim_topic', load_dt, count(*) FROM dim_topic GROUP BY ALL
@@ -213,6 +272,28 @@ def ddl_star_schema(spark, sf_dir):
     return feeds.all_messages(*counts)
 
 
+@register("ddl_catalogue", f"""WITH {sql.FACTS}, {sql.DIMS}
+SELECT 'raw_data' AS table_name, 'id string, source string, text string, created_at string' AS columns,
+  '' AS partitioned_by, '' AS defaults, count(*) AS row_count FROM facts
+UNION ALL SELECT 'dim_source', 'source_id bigint, source_name string, source_type string, load_dt timestamp',
+  '', 'load_dt current_timestamp()', count(*) FROM dim_source
+UNION ALL SELECT 'dim_date', 'date_id bigint, date_value date, year int, month int, day int, load_dt timestamp',
+  '', 'load_dt current_timestamp()', count(*) FROM dim_date
+UNION ALL SELECT 'dim_topic', 'topic_id bigint, topic_name string, load_dt timestamp',
+  '', 'load_dt current_timestamp()', count(*) FROM dim_topic
+UNION ALL SELECT 'fact_sentiment', 'fact_id string, source_id bigint, topic_id bigint, text string, '
+  || 'sentiment_class string, sentiment_score float, word_count int, hashtags_count int, created_at timestamp, '
+  || 'date_id bigint', 'date_id', '', count(*) FROM facts""")
+def ddl_catalogue(spark, sf_dir):
+    """Columns, types, partitioning and defaults as the catalogue tells them, and the rows of its tables after they
+    were filled from the staging log and the star schema."""
+    tables = _catalogue(spark)
+    current = staging.current_messages(inputs.staged(spark, sf_dir))
+    tables.insert(catalogue.STAGING, current.select("id", "source", "text", "created_at"))
+    tables.refresh(inputs.warehouse(spark, sf_dir))
+    return tables.described()
+
+
 @register("table_sort_key", f"""WITH {sql.FACTS}
 SELECT date_id, count(*) AS row_count, 0::BIGINT AS out_of_order FROM facts GROUP BY ALL""")
 def table_sort_key(spark, sf_dir):
