@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,18 @@ DEFAULTS = {"load_dt": "current_timestamp()"}
 _VERSION = "textpulse.version"
 
 
+@contextmanager
+def _only_their_partitions(spark: SparkSession) -> Iterator[None]:
+    """Overwriting inserts replace the partitions of their rows and no other. Tables take this from the session only."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 @dataclass(frozen=True)
 class Catalogue:
     """Tables of one database, each a folder under ``location``."""
@@ -75,7 +89,8 @@ class Catalogue:
         changed = sorted(d for d in after if before.get(d) != after[d])
         if changed:
             facts = new.facts.where(F.col("date_id").isin(changed)).select(*self.table(FACTS).columns)
-            facts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(self.name(FACTS))
+            with _only_their_partitions(self.spark):
+                facts.write.mode("overwrite").insertInto(self.name(FACTS))
         here = {row["date_id"] for row in self.table(FACTS).select("date_id").distinct().collect()}
         for day in sorted(here - set(after)):
             self.spark.sql(f"ALTER TABLE {self.name(FACTS)} DROP IF EXISTS PARTITION (date_id = {day})")
