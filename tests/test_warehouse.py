@@ -1,12 +1,14 @@
 """Versions of the star schema: what a load reads, what readers see, and what is left when a load is cut short."""
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
 from textpulse import storage
 from textpulse.functions.keys import message_key
-from textpulse.operators import keyfilter
-from textpulse.operators.star import Star
+from textpulse.operators import keyfilter, recent, summary
+from textpulse.operators.star import EVERYTHING, Criteria, Star
 from textpulse.plans import etl
 from textpulse.session import use_utc
 from textpulse.sources import warehouse as versions
@@ -176,3 +178,29 @@ def test_half_written_batches_wait(spark, places):
     storage.delete(spark, f"{log}/run=loads/batch_id=2/_SUCCESS")
     load(spark, log, target)
     assert {b for _, b in target.version().batches} == {0, 1} and target.facts.count() == 10
+
+
+def test_maintained_hours_equal_recomputation(spark, places):
+    """Three loads: one adds, one moves messages to other days and sources, one changes nothing."""
+    log, target = places
+    waves = [[], [("t0 1", "other", "2024-01-03 07:30:00"), ("bitcoin now", "s", "2024-01-01 00:59:59")], []]
+    for number, wave in enumerate(waves, 3):
+        if wave:
+            write_batch(spark, log, number, wave)
+        load(spark, log, target)
+        plain, rolled = Star.of(target), Star.rolled_up(target)
+        asked = [(EVERYTHING, "Hour")]
+        if number == 5:
+            asked += [
+                (EVERYTHING, "Minute"), (Criteria(sources=("s",)), "Day"), (Criteria(sentiments=("neutral",)), "Week"),
+                (Criteria(topics=("Crypto",)), "Hour"), (Criteria(keyword="t0"), "Hour"),
+                (Criteria(days=(date(2024, 1, 1), date(2024, 1, 2))), "Hour"),
+            ]
+        for criteria, grain in asked:
+            one, other = (summary.summarise_by_time(star, grain, criteria) for star in (plain, rolled))
+            assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+        for report in (summary.summarise, summary.calendar_rollup):
+            assert sorted(map(str, report(plain).collect())) == sorted(map(str, report(rolled).collect()))
+    read = summary.summarise_by_time(rolled, "Day").inputFiles()
+    assert any("fact_hours" in f for f in read) and not any("fact_sentiment" in f for f in read)
+    assert recent.limited(rolled, 3).hours is None

@@ -80,7 +80,7 @@ def etl_job(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def page_job(spark: SparkSession, args: argparse.Namespace) -> None:
     """Overview and diagnostics, panel by panel, over all facts or the newest ones."""
-    star = _star(spark, args)
+    star = Star.rolled_up(Warehouse(spark, args.warehouse))
     if args.limit:
         star = recent.limited(star, args.limit)
     scratch = storage.fresh_dir(spark, "page")

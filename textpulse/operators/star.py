@@ -68,12 +68,19 @@ class Star:
     sources: DataFrame
     topics: DataFrame
     dates: DataFrame
+    hours: DataFrame | None = None
 
     @classmethod
     def of(cls, warehouse: Warehouse) -> Star:
         warehouse = warehouse.pinned()
         return cls(warehouse.facts, warehouse.sources, warehouse.topics, warehouse.dates)
 
+    @classmethod
+    def rolled_up(cls, warehouse: Warehouse) -> Star:
+        """The same with the measures per hour that loads maintain: reports that need no finer rows read those."""
+        warehouse = warehouse.pinned()
+        return replace(cls.of(warehouse), hours=warehouse.hours)
+
     def register_views(self) -> Star:
         """Temp views under the tables' own names, for free SQL."""
         self.facts.createOrReplaceTempView("fact_sentiment")
@@ -85,6 +92,11 @@ class Star:
     def narrowed(self, criteria: Criteria) -> DataFrame:
         return self.facts.where(criteria.on_facts())
 
+    def narrowed_hours(self, criteria: Criteria) -> DataFrame | None:
+        """Measures per hour of the rows that fulfil the criteria; None where only the facts can tell. Criteria on
+        days are about whole days, so an hour is in or out as a whole."""
+        return None if self.hours is None or criteria.keyword else self.hours.where(criteria.on_facts())
+
     def with_names(self, rows: DataFrame, criteria: Criteria = EVERYTHING) -> DataFrame:
         """Inner joins on the surrogate keys.
 

@@ -27,15 +27,32 @@ def _measures() -> list[Column]:
     ]
 
 
+def _measures_of_hours() -> list[Column]:
+    of_class = [F.sum(F.when(F.col("sentiment_class") == c, F.col("messages")).otherwise(0)) for c in CLASS_COUNTS]
+    return [
+        F.sum("messages").alias("messages"),
+        *[counted.alias(c) for counted, c in zip(of_class, CLASS_COUNTS)],
+        *[F.sum(m).alias(m) for m in ("score_sum", "word_sum", "hashtag_sum")],
+    ]
+
+
+def _summed(star: Star, criteria: Criteria, finest: str, *keys: Column | str) -> DataFrame:
+    """Measures per key, from the maintained hours where no key is finer than an hour."""
+    hours = None if finest == "Minute" else star.narrowed_hours(criteria)
+    if hours is None:
+        return star.narrowed(criteria).groupBy(*keys).agg(*_measures())
+    return hours.groupBy(*keys).agg(*_measures_of_hours())
+
+
 def summarise(star: Star, criteria: Criteria = EVERYTHING, **by: Column) -> DataFrame:
     """Measures per source, topic and the extra keys given."""
     extra = [column.alias(name) for name, column in by.items()]
-    sums = star.narrowed(criteria).groupBy("source_id", "topic_id", *extra).agg(*_measures())
-    return star.with_names(sums, criteria)
+    return star.with_names(_summed(star, criteria, "Minute" if by else "Day", "source_id", "topic_id", *extra), criteria)
 
 
 def summarise_by_time(star: Star, grain: str, criteria: Criteria = EVERYTHING) -> DataFrame:
-    return summarise(star, criteria, bucket=dates.time_bucket("created_at", grain))
+    bucket = dates.time_bucket("created_at", grain).alias("bucket")
+    return star.with_names(_summed(star, criteria, grain, "source_id", "topic_id", bucket), criteria)
 
 
 def _total(measure: str) -> Column:
@@ -98,7 +115,7 @@ def top_negative_sources(summary: DataFrame, n: int = rules.TOP_NEGATIVE) -> Dat
 
 def calendar_rollup(star: Star, criteria: Criteria = EVERYTHING) -> DataFrame:
     """Counts per day of the calendar; facts are summed per date key before the join."""
-    per_day = star.with_calendar(star.narrowed(criteria).groupBy("date_id").agg(*_measures()))
+    per_day = star.with_calendar(_summed(star, criteria, "Day", "date_id"))
     return per_day.groupBy("year", "month", "day").agg(
         F.sum("messages").alias("messages"), *[F.sum(c).alias(c) for c in CLASS_COUNTS]
     )

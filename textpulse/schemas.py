@@ -52,8 +52,12 @@ FACT = _struct(
     created_at=_TIME, date_id=_LONG,
 )
 
-# Filters over the fact ids of each fact folder, and the staged batches that loads have taken in.
+# Beside each fact folder: filters over its ids, and its measures per hour. Then the staged batches that loads have taken in.
 KEY_FILTERS = _struct(level=_INT, word=_LONG, bits=_LONG, date_id=_LONG)
+FACT_HOURS = _struct(
+    source_id=_LONG, topic_id=_LONG, sentiment_class=_STRING, created_at=_TIME, messages=_LONG,
+    score_sum=DoubleType(), word_sum=_LONG, hashtag_sum=_LONG, date_id=_LONG,
+)
 LEDGER = _struct(run=_STRING, batch_id=_LONG, load=_STRING)
 
 METRICS = _struct(

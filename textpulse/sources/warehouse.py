@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from textpulse import schemas, storage
-from textpulse.operators import keyfilter
+from textpulse.operators import hours, keyfilter
 
-FACTS, KEY_FILTERS = "fact_sentiment", "fact_keys"
+FACTS, KEY_FILTERS, HOURS = "fact_sentiment", "fact_keys", "fact_hours"
+# Tables with a folder for each fact folder, and what they hold of it.
+BESIDE_FACTS = {KEY_FILTERS: keyfilter.filters, HOURS: hours.hourly}
 PARTITIONED = {FACTS: "date_id"}
 # A day or dimension in this many folders is written anew by the next load that adds to it.
 MOST_FOLDERS = 16
@@ -38,7 +40,7 @@ class Version:
 
     def text(self) -> str:
         folders = [
-            {"table": table, "load": load, "date_id": day} for table, all in self.folders.items() for load, day in all
+            {"table": table, "load": load, "date_id": day} for table, held in self.folders.items() for load, day in held
         ]
         batches = [{"run": run, "batch_id": n, "load": load} for (run, n), load in self.batches.items()]
         return "\n".join(json.dumps(line) for line in [*folders, *batches])
@@ -52,7 +54,7 @@ class Version:
                 folders.setdefault(line["table"], []).append((line["load"], line["date_id"]))
             else:
                 batches[line["run"], line["batch_id"]] = line["load"]
-        return cls(number, {table: tuple(all) for table, all in folders.items()}, batches)
+        return cls(number, {table: tuple(held) for table, held in folders.items()}, batches)
 
 
 # Version files never change once they are there.
@@ -139,6 +141,11 @@ class Warehouse:
         """The filters of all fact folders: which days may hold a fact id."""
         return self._rows(KEY_FILTERS, schemas.KEY_FILTERS, self.version().folders.get(FACTS, ()))
 
+    @property
+    def hours(self) -> DataFrame:
+        """Measures of all facts per hour, source, topic and class."""
+        return self._rows(HOURS, schemas.FACT_HOURS, self.version().folders.get(FACTS, ()))
+
     def ledger(self) -> DataFrame:
         """(run, batch_id, load) of every staged batch the facts hold."""
         rows = [(run, n, load) for (run, n), load in self.version().batches.items()]
@@ -151,8 +158,8 @@ class Warehouse:
         for number in numbers[:-keep]:
             storage.delete(self.spark, self._version_path(number))
         kept = [replace(self, pinned_to=n).version() for n in numbers[-keep:]]
-        for table in (*schemas.STAR_TABLES, KEY_FILTERS):
-            named = {f for v in kept for f in v.folders.get(FACTS if table == KEY_FILTERS else table, ())}
+        for table in (*schemas.STAR_TABLES, *BESIDE_FACTS):
+            named = {f for v in kept for f in v.folders.get(FACTS if table in BESIDE_FACTS else table, ())}
             loads = {load for load, _ in named}
             for name in storage.names(self.spark, self.path(table)):
                 load, path = name.removeprefix("load="), f"{self.path(table)}/{name}"
@@ -190,15 +197,16 @@ class Change:
             storage.delete(self.held.spark, path)
 
     def add_facts(self, rows: DataFrame, instead_of: set[int]) -> None:
-        """Facts in a folder per day, with the filters of their ids; days in ``instead_of`` consist of these alone."""
+        """Facts in a folder per day, with the filters of their ids and their hours; days in ``instead_of`` consist of these alone."""
         spark, path = self.held.spark, f"{self.held.path(FACTS)}/load={self.load}"
         rows.write.mode("errorifexists").partitionBy("date_id").parquet(path)
         days = [int(n[8:]) for n in storage.names(spark, path) if n.startswith("date_id=")]
         added = [(self.load, day) for day in days]
-        filters = keyfilter.filters(self.held._rows(FACTS, schemas.FACT, added))
-        filters.write.mode("errorifexists").partitionBy("date_id").parquet(
-            f"{self.held.path(KEY_FILTERS)}/load={self.load}"
-        )
+        written = self.held._rows(FACTS, schemas.FACT, added)
+        for table, made in BESIDE_FACTS.items():
+            made(written).write.mode("errorifexists").partitionBy("date_id").parquet(
+                f"{self.held.path(table)}/load={self.load}"
+            )
         staying = [f for f in self.folders.get(FACTS, ()) if f[1] not in instead_of]
         self.folders[FACTS] = (*staying, *added)
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from textpulse import schemas, storage
 from textpulse.operators import compaction, dimensions, enrich, staging, summary
+from textpulse.operators.star import Star
 from textpulse.plans import adhoc, etl
 from textpulse.sinks import publish
 from textpulse.sources import catalogue, feeds, files, messages
@@ -214,6 +215,24 @@ def load_ledger(spark, sf_dir):
     return loads.select("run", "batch_id", F.dense_rank().over(Window.orderBy("load")).cast("bigint").alias("load_number"))
 
 
+@register("rollup_maintained", f"""WITH {sql.FACTS}
+SELECT bucket, source_name, topic_name, sum(messages)::BIGINT AS messages, sum(negative)::BIGINT AS negative,
+  sum(word_sum)::BIGINT AS word_sum, sum(hashtag_sum)::BIGINT AS hashtag_sum
+FROM (SELECT {sql.bucket('created_at', 'Hour')} AS bucket, source_name, topic_name, 1::BIGINT AS messages,
+  CASE WHEN sentiment_class = 'negative' THEN 1::BIGINT ELSE 0 END AS negative, word_count AS word_sum,
+  hashtags_count AS hashtag_sum FROM facts) GROUP BY ALL""")
+def rollup_maintained(spark, sf_dir):
+    """The hours that three loads have kept up: the second changes messages of the first."""
+    target = Warehouse(spark, storage.fresh_dir(spark, "rolled"))
+    log = storage.fresh_dir(spark, "waves")
+    rows = spark.read.schema(schemas.STAGING_LOG).parquet(inputs.staging_log(spark, sf_dir))
+    for wave in ("batch_id < 2", "batch_id = 2", "batch_id = 3"):
+        rows.where(wave).write.mode("append").partitionBy("run", "batch_id", "kind").parquet(log)
+        etl.load(spark, log, target, inputs.scorer(spark, sf_dir), inputs.RUN_TS)
+    by_hour = summary.summarise_by_time(Star.rolled_up(target), "Hour")
+    return by_hour.select("bucket", "source_name", "topic_name", "messages", "negative", "word_sum", "hashtag_sum")
+
+
 def _catalogue(spark):
     place = storage.fresh_dir(spark, "catalogue")
     return catalogue.Catalogue(spark, f"textpulse_{place[-12:]}", place).create()
