@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import math
 import string
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -21,9 +22,8 @@ from textpulse.llm.columns import guarded
 from textpulse.llm.shipping import ship
 
 PASSAGE_WORDS = 64
-# The fit reads at most this many labelled documents, and of each at most so many evenly spaced passages.
+# The fit reads at most this many labelled documents, with all their passages: about a byte of driver memory a word.
 SAMPLE_DOCUMENTS = 4_000
-SAMPLE_PASSAGES = 256
 FOLDS = 5
 THRESHOLD = 0.3
 CODE, GATE = 16, 8
@@ -31,8 +31,8 @@ ROUNDS = 400
 RATE = 0.02
 DECAY = 1e-4
 SEED = 7
-# Pairs of words that a text has shown are remembered over so many passages.
-_MEMORY = 1_024
+# What a text has shown before is kept as marks in a table of this many places a word, by the hash of a pair.
+_PLACES = 8
 
 _UPPER = string.ascii_uppercase.encode()
 _LOWER = string.ascii_lowercase.encode()
@@ -46,20 +46,23 @@ FEATURES = len(_CLASSES) + 8
 
 
 def passages(text: str) -> np.ndarray:
-    """Features of every passage of PASSAGE_WORDS words; a text without words is one passage of zeros."""
+    """Features of every passage of PASSAGE_WORDS words; a text without words is one passage of zeros. Pairs of words
+    are told apart by hashes; the table of those seen before grows with the text, so place in a text does not matter."""
     words = text.split()
     total = math.log1p(len(words)) / 10
-    rows, seen = [], set()
+    codes = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) for w in words), np.uint64, len(words))
+    places = 1 << (_PLACES * max(len(words), 128) - 1).bit_length()
+    seen = np.zeros(places, bool)
+    pair_places = (codes[:-1] * np.uint64(0x9E3779B97F4A7C15) + codes[1:]) % np.uint64(places)
+    rows = []
     for start in range(0, len(words), PASSAGE_WORDS):
         part = words[start : start + PASSAGE_WORDS]
         raw = " ".join(part).encode("utf-8", "replace")
         n = len(part)
         size = len(raw) - n + 1
-        pairs = set(zip(part, part[1:]))
-        again = len(pairs & seen) / len(pairs) if pairs else 0.0
-        if start % (PASSAGE_WORDS * _MEMORY) == 0:
-            seen = set()
-        seen |= pairs
+        pairs = np.unique(pair_places[start : start + n - 1])
+        again = float(seen[pairs].mean()) if len(pairs) else 0.0
+        seen[pairs] = True
         row = [(len(raw) - len(raw.translate(None, kind))) / size for kind in _CLASSES]
         row += [
             n / PASSAGE_WORDS, size / n / 10, len(set(part)) / n, len(pairs) / max(n - 1, 1), again,
@@ -102,7 +105,10 @@ class AttentionModel:
         }
 
     def scores(self, features: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        return self._forward((features - self.mean) / self.scale, starts)["score"].astype(np.float64)
+        """To six digits, in double precision: the last bits would depend on which texts share a batch."""
+        exact = replace(self, weights={k: v.astype(np.float64) for k, v in self.weights.items()})
+        scaled = (features.astype(np.float64) - self.mean) / self.scale
+        return np.round(exact._forward(scaled, starts)["score"], 6)
 
     def _gradients(self, x: np.ndarray, starts: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
         w, f = self.weights, self._forward(x, starts)
@@ -153,7 +159,8 @@ def held_out(doc_id: Column) -> Column:
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> AttentionModel | None:
     """Fits on the ``sample`` labelled documents with the smallest hashes of their id, held-out ones left
-    out; an id labelled twice counts once, by its lowest label. None without labelled documents."""
+    out; an id labelled twice counts once, by its lowest label, and one with several rows by one of their texts. All
+    passages of these documents are read. None without labelled documents."""
     spark = ship(docs.sparkSession)
     known = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -167,19 +174,19 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
 
     def featured(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in texts:
-            found = [passages(t or "") for t in series]
-            thin = [f[:: -(-len(f) // SAMPLE_PASSAGES)] for f in found]
-            yield pd.Series([f.tobytes() for f in thin])
+            yield pd.Series([passages(t or "").tobytes() for t in series])
 
+    # One row per labelled id: where ids repeat, that of the text with the smallest hash.
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("text").alias("text")))
     rows = (
         docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("labelled"))
-        .select("doc_id", "quality", F.pandas_udf(featured, "binary")(F.col("text")).alias("bag"))
-        .limit(2 * sample)
+        .groupBy("doc_id").agg(least.alias("row"), F.min("quality").alias("quality"))
+        .select("doc_id", "quality", F.pandas_udf(featured, "binary")(F.col("row.text")).alias("bag"))
         .toPandas()
     )
     if rows.empty:
         return None
-    rows = rows.sort_values(["doc_id", "bag"], ignore_index=True)
+    rows = rows.sort_values("doc_id", ignore_index=True)
     bags = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in rows["bag"]]
     starts = np.cumsum([0] + [len(b) for b in bags[:-1]])
     return AttentionModel.fit(np.concatenate(bags), starts, rows["quality"].to_numpy(np.float32))
