@@ -23,7 +23,7 @@ SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
 # Parts up to this length are kept by a worker, this many in each of two generations.
 CACHED_LENGTH = 48
-CACHED_PARTS = 250_000
+CACHED_PARTS = 120_000
 
 
 def default_model() -> str:
@@ -192,6 +192,10 @@ class PieceModel:
             if searching:
                 gc.enable()
 
+    def forget(self) -> None:
+        """Drops the parts at hand: a worker goes on to other stages, which need its memory."""
+        self.known = _Parts(self)
+
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         """All ids of each text, the end id last."""
         return [list(map(int, ids.split())) for ids, _ in self.joined_all(texts)]
@@ -249,7 +253,7 @@ _MODELS: dict[str, PieceModel] = {}
 
 
 def model_at(path: str) -> PieceModel:
-    """One model a worker process; the parts it keeps live as long."""
+    """One model a worker process; the parts it keeps live as long as a task."""
     if path not in _MODELS:
         _MODELS[path] = PieceModel(path)
     return _MODELS[path]
@@ -268,6 +272,8 @@ def _digests(path: str | None) -> Callable:
                     )
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
             tidy()
+        model.forget()
+        tidy()
 
     return F.pandas_udf(digest, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
