@@ -549,7 +549,8 @@ def _spread(docs: DataFrame, schema: StructType) -> DataFrame:
     names = schema.names
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // max(LEAST_PART, min(MOST_PART, total // PARTS))))
-    rows = docs.withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("bigint"))
+    # By id and text: many rows of one id, or without any, are dealt over all parts.
+    rows = docs.withColumn("_part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("bigint"))
     parsed = rows.select("doc_id", "text", "_part").mapInArrow(_parse(parts), _MESSAGE_SQL)
     settled = parsed.groupBy("bucket").applyInArrow(_tidied(_dictionary), _MESSAGE_SQL)
     by_part = rows.groupBy("_part")
