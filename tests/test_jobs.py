@@ -321,6 +321,49 @@ def test_live_counts_of_two_streams_add_up(spark):
     assert [r.messages for r in live.read_live(spark, out).collect()] == [6] * 5
 
 
+def _days(spark, folder, days):
+    for day in days:
+        row = spark.range(3).select(F.make_timestamp(*map(F.lit, (2024, 1, day, 0, 0, 0))).alias("ts"))
+        row.withColumn("kind", F.lit("k")).coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_late_rows_count_and_are_told_apart(spark):
+    """One stream, started three times, with sums between; days 5, 4, 3 come, then 6 and 1, then none, then 2."""
+    out, folder = storage.fresh_dir(spark, "test-live"), storage.fresh_dir(spark, "test-events")
+    checkpoint = storage.fresh_dir(spark, "test-checkpoint")
+
+    def counts():
+        return {r.bucket.day: (r.messages, r.late) for r in live.read_additions(spark, out).collect()}
+
+    assert counts() == {} and live.compact_additions(spark, out) == 0
+    expected = {}
+    for days, sums in (([5, 4, 3], 1), ([6, 1], 1), ([], 0), ([2, 5], 1)):
+        newest = max(expected, default=0)
+        _days(spark, folder, days)
+        for day in days:
+            n, late = expected.get(day, (0, 0))
+            expected[day] = (n + 3, late + 3 * (day < newest))
+            newest = max(newest, day)
+        if days:
+            stream = spark.readStream.schema("ts timestamp, kind string").option("maxFilesPerTrigger", 1).parquet(folder)
+            live.write_additions(stream, out, checkpoint, DRAIN, "ts", "kind").awaitTermination()
+        assert counts() == expected
+        assert live.compact_additions(spark, out, least=2) == sums
+        assert counts() == expected
+
+
+def test_a_batch_written_again_counts_once(spark):
+    out = storage.fresh_dir(spark, "test-live")
+    days = spark.sql("SELECT timestamp'2024-01-05 10:20:00' AS ts, 'k' AS kind UNION ALL SELECT NULL, 'k'")
+    for batch_id in (0, 1, 1, 2, 2):
+        live.add_batch(days, batch_id, out, "r", "ts", "kind", "Week", "10 minutes")
+    assert live.compact_additions(spark, out, least=1) == 1
+    live.add_batch(days, 2, out, "r", "ts", "kind", "Week", "10 minutes")
+    live.add_batch(days.limit(0), 3, out, "r", "ts", "kind", "Week", "10 minutes")
+    row, = live.read_additions(spark, out).collect()
+    assert (str(row.bucket.date()), row.messages, row.late) == ("2024-01-07", 3, 0)
+
+
 def test_two_names_with_one_key_fail_the_load(spark):
     """Both names have the CRC-32 1306201125."""
     target = Warehouse(spark, storage.fresh_dir(spark, "test-star")).create()

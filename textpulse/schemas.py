@@ -67,6 +67,9 @@ METRICS = _struct(
 
 # Live roll-up, one folder per stream and micro-batch.
 LIVE_COUNTS = _struct(bucket=_TIME, category=_STRING, messages=_LONG, run=_STRING, batch_id=_LONG)
+LIVE_ADDITIONS = _struct(
+    bucket=_TIME, category=_STRING, messages=_LONG, late=_LONG, newest=_TIME, run=_STRING, batch_id=_LONG
+)
 
 STAR_TABLES = {
     "dim_source": DIM_SOURCE,

@@ -405,18 +405,21 @@ _HOURLY = f"""SELECT {sql.bucket('ts', 'Hour')} AS bucket, event_type AS categor
 FROM events GROUP BY ALL"""
 
 
-@register("stream_live_rollup", _HOURLY)
-def stream_live_rollup(spark, sf_dir):
-    """Twelve files, newest events first, three to a micro-batch."""
+def _newest_first(spark, sf_dir):
+    """The events as a stream: twelve files, newest first, three to a micro-batch."""
     schema = "event_id bigint, ts timestamp_ntz, event_type string"
     folder = storage.fresh_dir(spark, "events")
     stored = inputs.table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
     stored.repartitionByRange(12, F.desc("ts")).write.parquet(f"{folder}/events")
     events = replay.table_stream(spark, folder, "events", schema, files_per_batch=3)
-    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@register("stream_live_rollup", _HOURLY)
+def stream_live_rollup(spark, sf_dir):
     path = storage.fresh_dir(spark, "live")
     query = live.write_live(
-        live.live_counts(timed, "ts", "event_type", "Hour", lateness=None),
+        live.live_counts(_newest_first(spark, sf_dir), "ts", "event_type", "Hour", lateness=None),
         path,
         storage.fresh_dir(spark, "checkpoint"),
         inputs.DRAIN,
@@ -425,6 +428,18 @@ def stream_live_rollup(spark, sf_dir):
     return live.read_live(spark, path)
 
 
+@register("stream_live_late", _HOURLY)
+def stream_live_late(spark, sf_dir):
+    """All but the first files come far behind the newest event; the counts are right all the same, also over a sum of
+    the first batches."""
+    path = storage.fresh_dir(spark, "live")
+    live.write_additions(
+        _newest_first(spark, sf_dir), path, storage.fresh_dir(spark, "checkpoint"), inputs.DRAIN, "ts", "event_type"
+    ).awaitTermination()
+    live.compact_additions(spark, path, least=2)
+    return live.read_additions(spark, path).select("bucket", "category", "messages")
+
+
 @register("stream_replay", """SELECT event_type AS source, props AS text,
   strftime(ts, '%Y-%m-%d %H:%M:%S') AS created_at FROM events""")
 def stream_replay(spark, sf_dir):
