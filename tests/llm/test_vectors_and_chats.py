@@ -1,5 +1,7 @@
 """NN-descent, components and quotation linking against brute force and worked examples."""
 
+import re
+
 import numpy as np
 import pytest
 
@@ -154,6 +156,80 @@ def test_quotes_are_linked_and_taken_out(spark):
     assert quotes.link_quotes(table.limit(0)).count() == 0
 
 
+def plain_links(messages):
+    """Brute force over (turn, text): n_linked and the parent that quotations give, per turn."""
+    def squeeze(t):
+        return " ".join(t.lower().split())
+
+    def parsed(text):
+        out, last = [], None
+        for raw in (text or "").split("\n"):
+            mark = re.match(quotes.MARKS, raw)
+            level, line = (mark[0].count(">"), raw[mark.end():]) if mark else (0, raw)
+            if not line.strip():
+                last = None
+                continue
+            if last != level:
+                out.append((level, []))
+            out[-1][1].append(squeeze(line))
+            last = level
+        return out
+
+    said, result = [], {}
+    for turn, text in sorted(messages):
+        found = []
+        for level, parts in parsed(text):
+            if level:
+                def latest(wording):
+                    return max((t for t, w in said if wording in w and t < turn), default=None)
+                lines = [latest(p) for p in parts]
+                origin = latest(" ".join(parts))
+                if origin is None and None not in lines:
+                    origin = min(lines)
+                if origin is not None:
+                    found.append((-level, origin))
+        result[turn] = (len(found), max(found)[1] if found else None)
+        own = [parts for level, parts in parsed(text) if not level]
+        said.append((turn, {" ".join(p) for p in own} | {x for p in own for x in p} | {" ".join(x for p in own for x in p)}))
+    return result
+
+
+@pytest.mark.parametrize("per_bucket", [3, 50_000])
+def test_quotes_link_like_brute_force(spark, monkeypatch, per_bucket):
+    """Few different lines, so that most are said and quoted again and again, over one bucket of turns and over many."""
+    monkeypatch.setattr(quotes, "ROWS_PER_BUCKET", per_bucket)
+    rng = np.random.default_rng(8)
+    chats = {
+        conv: [
+            (turn, "\n".join(
+                ["", "> ", "> > "][rng.choice(3, p=[0.5, 0.35, 0.15])] + ["The  answer", "is YES", "not so", ""][rng.integers(4)]
+                for _ in range(rng.integers(0, 7))
+            ))
+            for turn in range(40)
+        ]
+        for conv in (1, 2)
+    }
+    rows = [(conv, turn, "user", text) for conv, chat in chats.items() for turn, text in chat]
+    got = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        linked, parent = plain_links(chats[r.conv_id])[r.turn]
+        assert r.n_linked == linked
+        assert r.parent_turn == (parent if parent is not None else r.turn - 1 if r.turn else None)
+
+
+def test_partial_quotes_latest_origins_and_attributions(spark):
+    chat = [
+        (0, "The answer is yes."), (1, "One line.\nAnother line.\nA third."), (2, "The answer is yes."),
+        (3, "On Monday, A wrote:\n> The answer is yes.\nThanks."), (4, "B writes:\n\n> another  LINE.\n\nGood. She wrote:"),
+        (5, "> another line.\n> a third.\nFine."), (6, "> another line.\n> never said.\nWhat?"),
+    ]
+    table = spark.createDataFrame([(1, t, "user", x) for t, x in chat], "conv_id long, turn long, role string, text string")
+    got = {r.turn: r for r in quotes.link_quotes(table).collect()}
+    assert [got[t].parent_turn for t in range(7)] == [None, 0, 1, 2, 1, 1, 5]
+    assert [got[t].body for t in (3, 4, 5)] == ["Thanks.", "Good. She wrote:", "Fine."]
+
+
 def test_a_parent_stands_before_its_replies(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     got = quotes.link_quotes(table).toPandas()

@@ -9,6 +9,8 @@ from textpulse import storage
 from textpulse.llm.ranks import id_buckets, running_start
 
 MARKS = r"^[ \t]*(?:>[ \t]?)+"
+# "On Monday, A wrote:", if what follows is quoted.
+ATTRIBUTION = r"(?i)^.{1,200}\b(?:wrote|writes|said):\s*$"
 ROWS_PER_BUCKET = 50_000
 
 
@@ -45,8 +47,18 @@ def _runs(parsed: str) -> tuple[Column, Column]:
 
 
 def passages(messages: DataFrame) -> DataFrame:
-    """Adds ``passages``: array<(level, text)> of the message, in order, and ``body``, the level 0 lines."""
-    rows = messages.withColumn("_lines", lines(F.col("text")))
+    """Adds ``passages``: array<(level, text, lines)> of the message, in order, and ``body``, the level 0 lines. A line
+    that names the author of a quotation right below it, or below one blank line, is left out."""
+    rows = messages.withColumn("_all", lines(F.col("text")))
+
+    def below(i: Column) -> Column:
+        after = F.get(F.col("_all"), i + 1)
+        return F.when(F.trim(after["line"]) == "", F.get(F.col("_all"), i + 2)["level"]).otherwise(after["level"])
+
+    kept = F.filter(
+        "_all", lambda p, i: ~(p["line"].rlike(ATTRIBUTION) & (F.coalesce(below(i), F.lit(0)) > p["level"]))
+    )
+    rows = rows.withColumn("_lines", kept).drop("_all")
     blank, starts = _runs("_lines")
     rows = rows.withColumn("_blank", blank).withColumn("_starts", starts)
 
@@ -56,6 +68,7 @@ def passages(messages: DataFrame) -> DataFrame:
         return F.struct(
             F.get(F.col("_lines"), start)["level"].alias("level"),
             normal(F.array_join(F.transform(inside, lambda p: p["line"]), " ")).alias("text"),
+            F.filter(F.transform(inside, lambda p: normal(p["line"])), lambda t: t != "").alias("lines"),
         )
 
     body = F.array_join(
@@ -76,12 +89,36 @@ def turn_buckets(rows: DataFrame):
     return id_buckets(rows, "turn", ROWS_PER_BUCKET)
 
 
+def wordings(passage: Column) -> Column:
+    """What a passage is looked up by: its whole text first, then its lines, if there are several."""
+    return F.concat(
+        F.array(passage["text"]),
+        F.when(F.size(passage["lines"]) > 1, passage["lines"]).otherwise(F.array().cast("array<string>")),
+    )
+
+
+def latest_before(events: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds ``origin``: the greatest ``said_turn`` at a smaller ``turn`` with the same keys.
+
+    Inside a bucket of turns it is a running maximum, across buckets that of the buckets before. So a passage that is
+    said and quoted thousands of times makes no pairs, and its rows are spread over their buckets.
+    """
+    edge = events.groupBy(*keys, "_bucket").agg(F.max("said_turn").alias("_last"))
+    ahead = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    edge = edge.select(*keys, "_bucket", F.max("_last").over(ahead).alias("_earlier"))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    found = events.withColumn("_inside", F.max("said_turn").over(inside)).join(edge, [*keys, "_bucket"])
+    earlier = F.when(F.col("turn").isNotNull(), F.col("_earlier"))
+    return found.withColumn("origin", F.coalesce("_inside", earlier)).drop("_inside", "_earlier")
+
+
 def link_quotes(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, role, body, quote_depth, n_quotes, n_linked, parent_turn, position, formatted), a row per message row.
 
-    A quoted passage is a run of lines of one level >= 1. What it can come from are the unquoted passages and
-    whole bodies of earlier messages of the conversation; both sides are hashed after normalising, originals
-    are summed up to the first turn per hash, and an equal join links them. The parent is the latest message
+    A quoted passage is a run of lines of one level >= 1. What it can come from are the unquoted passages, their lines and
+    the whole bodies of earlier messages of the conversation; both sides are hashed after normalising, and each hash is
+    linked to the latest message before the quotation that said it. A passage that nobody said as a whole comes from
+    where its lines come from, if all were said: of their latest messages, the first. The parent is the latest message
     that a passage of the lowest level comes from; without one it is the turn before, and the first turn has
     none. Messages come in reply order: by parent, then turn, which puts every message behind its parent
     and keeps the replies to a message together; ``position`` numbers them from 0 without gaps.
@@ -96,28 +133,42 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     rows = storage.materialize(
         parsed.withColumn("row", F.monotonically_increasing_id()), storage.fresh_dir(spark, "messages")
     )
-    own = F.transform(F.filter("passages", lambda p: p["level"] == 0), lambda p: p["text"])
+    bucket_of = turn_buckets(rows)
+    rows = rows.withColumns({
+        "_conv": F.coalesce(F.col("conv_id").cast("string"), F.lit("none")), "_bucket": bucket_of(F.col("turn"))
+    })
+    own = F.flatten(F.transform(F.filter("passages", lambda p: p["level"] == 0), wordings))
     whole = normal(F.col("body"))
     originals = (
         rows.where("turn IS NOT NULL AND body <> ''")
-        .select("conv_id", "turn", F.explode(F.array_distinct(F.array_append(own, whole))).alias("said"))
-        .groupBy("conv_id", _hashed(F.col("said")).alias("hash"))
-        .agg(F.min("turn").alias("origin"))
+        .select("_conv", "_bucket", "turn", F.explode(F.array_distinct(F.array_append(own, whole))).alias("said"))
+        .select("_conv", _hashed(F.col("said")).alias("hash"), "_bucket", "turn", F.col("turn").alias("said_turn"))
+        .distinct()
     )
     quoted = (
-        rows.select("row", "conv_id", "turn", F.explode("passages").alias("p"))
+        rows.select("row", "_conv", "_bucket", "turn", F.posexplode("passages").alias("k", "p"))
         .where("p.level > 0")
-        .select("row", "conv_id", "turn", F.col("p.level").alias("level"), _hashed(F.col("p.text")).alias("hash"))
+        .select("*", F.posexplode(wordings(F.col("p"))).alias("n", "wording"))
+        .select(
+            "_conv", _hashed(F.col("wording")).alias("hash"), "_bucket", "turn", "row", "k", "n",
+            F.col("p.level").alias("level"),
+        )
     )
-    same = quoted["conv_id"].eqNullSafe(originals["conv_id"]) & (quoted["hash"] == originals["hash"])
-    linked = quoted.join(originals, same & (F.col("origin") < quoted["turn"]), "left")
-    per_row = linked.groupBy("row").agg(
+    linked = latest_before(quoted.unionByName(originals, allowMissingColumns=True), ["_conv", "hash"])
+    line = F.col("n") > 0
+    known = F.count_if(line & F.col("origin").isNull()) == 0
+    per_passage = linked.where("row IS NOT NULL").groupBy("row", "k").agg(
+        F.max("level").alias("level"),
+        F.coalesce(
+            F.max(F.when(~line, F.col("origin"))), F.when(known, F.min(F.when(line, F.col("origin"))))
+        ).alias("origin"),
+    )
+    per_row = per_passage.groupBy("row").agg(
         F.max("level").cast("bigint").alias("depth"),
         F.count(F.lit(1)).alias("quotes"),
         F.count("origin").alias("found"),
         F.max(F.when(F.col("origin").isNotNull(), F.struct((-F.col("level")).alias("l"), F.col("origin").alias("o")))).alias("best"),
     )
-    bucket_of = turn_buckets(rows)
     bucketed = rows.drop("passages").join(per_row, "row", "left").withColumns({
         "_conv": F.coalesce(F.col("conv_id").cast("string"), F.lit("none")), "_bucket": bucket_of(F.col("turn"))
     })
