@@ -231,6 +231,20 @@ def test_repeats_go_like_brute_force(docs, rows, least, monkeypatch):
     assert kept.columns == docs.columns and kept.count() == len(rows)
 
 
+def test_one_id_for_most_rows_is_dealt_over_parts(spark, monkeypatch):
+    """Most rows share an id or have none; their texts hold passages of each other and of other documents."""
+    monkeypatch.setattr(repeats, "LEAST_PART", 2_000)
+    monkeypatch.setattr(repeats, "MOST_PART", 2_000)
+    rng = random.Random(9)
+    lines = ["".join(rng.choice("abcdefgh ") for _ in range(80)) for _ in range(12)]
+    rows = [
+        (rng.choice([7, 7, 7, None, None, i]), "".join(rng.choice("xyz") for _ in range(30)) + rng.choice(lines))
+        for i in range(300)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    same(repeats.removal_report(docs).collect(), plain_removed(rows))
+
+
 def test_hot_triggers_take_the_loose_way(spark):
     """One line before and after hundreds of different texts: more phrases of a trigger than a task keeps."""
     rng = random.Random(4)
