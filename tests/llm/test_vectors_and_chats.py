@@ -84,12 +84,45 @@ def test_an_audit_goes_on_until_it_sees_links(spark):
         assert neighbours.audit(nodes, counts) == (want, sum(n > 0 for n in near))
 
 
-def test_low_recall_is_raised(spark, monkeypatch):
+def test_low_recall_is_returned(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "ROUNDS", 1)
     monkeypatch.setattr(neighbours, "audit", lambda *_: (0.5, 7))
     table = spark.createDataFrame([(i, v) for i, v in enumerate(vectors()[:50])], "vec_id long, embedding array<double>")
-    with pytest.raises(RuntimeError, match="recall 0.5"):
-        neighbours.near_duplicates(table)
+    got = neighbours.near_duplicates(table).collect()
+    assert len(got) == 50 and {(r.recall, r.recall_seen) for r in got} == {(0.5, 7)}
+
+
+def test_full_lists_are_doubled(spark):
+    """Groups of 40 and, in two halves, of 30 outgrow three lengths of lists and fit the last."""
+    rng = np.random.default_rng(4)
+    values = np.array([*two_groups(15), *(rng.standard_normal(64) + 0.01 * rng.standard_normal((40, 64))), *rng.standard_normal((200, 64))])
+    near = brute(values)
+    unit = values / np.linalg.norm(values, axis=1, keepdims=True)
+    nodes = spark.createDataFrame([(i, i, 64, bytearray(u.tobytes())) for i, u in enumerate(unit)], "node long, root long, dim int, vec binary")
+    graph = neighbours.Graph(nodes)
+    graph.plant([0, 1, 2, 3])
+    graph.refine()
+    wide, links, full = neighbours.enlarged(graph, 0.95)
+    assert wide.keep == 48 and wide.n == 70 and full.isEmpty()
+    got = {(r.a, r.b) for r in links.collect()}
+    assert got == {(int(a), int(b)) for a, b in zip(*np.nonzero(near))}
+
+
+def test_a_third_of_all_rows_in_one_group_and_rare_links(spark):
+    rng = np.random.default_rng(8)
+    hot = rng.standard_normal(32) + 0.03 * rng.standard_normal((500, 32))
+    lone = rng.standard_normal((1_000, 32))
+    lone[999] = lone[0] + 0.001
+    values = np.vstack([hot, lone])
+    near = brute(values)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(values)] + [(None, [float(x) for x in lone[5]])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = {r.vec_id: r for r in neighbours.near_duplicates(table).collect()}
+    want = near.sum(1)
+    want[505] += 1
+    assert [got[i].n_links for i in range(1_500)] == want.tolist()
+    assert {got[i].component_id for i in range(500)} == {0} and got[1_499].component_id == 500
+    assert (got[None].n_links, got[None].component_id, got[None].kept) == (1, 505, False)
 
 
 def test_trees_grow_with_their_depth():

@@ -1,8 +1,9 @@
 """Near-duplicate vectors by NN-descent.
 
 A graph of neighbour lists is refined by joining neighbours of neighbours, audited against brute force on a
-sample, and cut at the threshold. Where lists are full of links, further lists hold the nearest vectors of other
-components until none is a link, and then all lists are enlarged to the whole component.
+sample, and cut at the threshold. Lists that are full of links, and those of the vectors they hold, are doubled
+and refined again, up to WIDEST entries. What is denser is left to an exact count: further lists hold the nearest
+vectors of other components until none is a link, and then the links inside the components are counted.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from textpulse.llm.shipping import ship
 
 THRESHOLD = 0.95
 LIST = 6
+# Lists full of links are doubled up to this length; vectors with more links have them counted exactly.
+WIDEST = 48
 TREES = 4
 LEAF = 64
 MOST_LEAF = 256
@@ -31,8 +34,10 @@ BACKWARD = 8
 DESCENTS = 3
 FEW_UPDATES = 0.002
 ROUNDS = 4
-# An audit goes on until it has met so many vectors with links whose component is not counted exactly.
+# An audit goes on until it has met so many vectors with links whose component is not counted exactly, or has
+# compared so many vectors with all others.
 AUDIT_LINKED = 300
+AUDIT_MOST = 32_768
 AUDIT_BLOCK = 256
 MOST_BLOCK = 4_096
 RECALL = 0.98
@@ -100,7 +105,7 @@ def _edges(a, b, sim) -> pa.Table:
     return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64())], schema=_EDGE)
 
 
-def _leaf_lists(keep: int) -> Callable:
+def _leaf_lists(keep: int, floor: float) -> Callable:
     def lists(table: pa.Table) -> pa.Table:
         """Best neighbours inside each leaf of a bucket of leaves."""
         frame = table.select(["tree", "dim", "leaf", "sub", "node", "root"]).to_pandas()
@@ -111,6 +116,8 @@ def _leaf_lists(keep: int) -> Callable:
             node = frame["node"].to_numpy()[at]
             sims = x @ x.T
             row, column = _best(sims, keep, frame["root"].to_numpy()[at])
+            near = sims[row, column] >= floor
+            row, column = row[near], column[near]
             for o, values in zip(out, (node[row], node[column], sims[row, column])):
                 o.append(values)
         return _edges(*[np.concatenate(o) if o else [] for o in out])
@@ -118,30 +125,35 @@ def _leaf_lists(keep: int) -> Callable:
     return lists
 
 
-def _local_join(table: pa.Table) -> pa.Table:
-    """Neighbours of one centre meet each other; a pair goes on if it betters either side's list."""
-    centre = table.column("centre").to_numpy()
-    order = np.argsort(centre, kind="stable")
-    node, root, worst, dim = (table.column(c).to_numpy()[order] for c in ("node", "root", "worst", "dim"))
-    fresh = table.column("fresh").to_numpy(zero_copy_only=False)[order]
-    vec = table.column("vec").to_pylist()
-    centre = centre[order]
-    starts = np.flatnonzero(np.append(True, centre[1:] != centre[:-1])) if len(centre) else []
-    out = [], [], []
-    for s, e in zip(starts, np.append(starts[1:], len(centre))):
-        if e - s < 2 or not fresh[s:e].any():
-            continue
-        x = _matrix([vec[i] for i in order[s:e]], int(dim[s]))
-        sims = x @ x.T
-        better = (sims > worst[s:e][:, None]) & (fresh[s:e][:, None] | fresh[s:e][None, :])
-        better &= root[s:e][:, None] != root[s:e][None, :]
-        row, column = np.nonzero(better)
-        for o, values in zip(out, (node[s:e][row], node[s:e][column], sims[row, column])):
-            o.append(values)
-    edges = [np.concatenate(o) if o else np.zeros(0) for o in out]
-    frame = pd.DataFrame({"a": edges[0].astype(np.int64), "b": edges[1].astype(np.int64), "sim": edges[2]})
-    frame = frame[frame["a"] != frame["b"]].drop_duplicates(["a", "b"])
-    return _edges(frame["a"], frame["b"], frame["sim"])
+def _local_join(keep: int, floor: float) -> Callable:
+    def join(table: pa.Table) -> pa.Table:
+        """Neighbours of one centre meet each other; a pair goes on if it betters either side's list, and is among
+        the best of its bucket."""
+        centre = table.column("centre").to_numpy()
+        order = np.argsort(centre, kind="stable")
+        node, root, worst, dim = (table.column(c).to_numpy()[order] for c in ("node", "root", "worst", "dim"))
+        fresh = table.column("fresh").to_numpy(zero_copy_only=False)[order]
+        vec = table.column("vec").to_pylist()
+        centre = centre[order]
+        starts = np.flatnonzero(np.append(True, centre[1:] != centre[:-1])) if len(centre) else []
+        out = [], [], []
+        for s, e in zip(starts, np.append(starts[1:], len(centre))):
+            if e - s < 2 or not fresh[s:e].any():
+                continue
+            x = _matrix([vec[i] for i in order[s:e]], int(dim[s]))
+            sims = x @ x.T
+            better = (sims > worst[s:e][:, None]) & (sims >= floor) & (fresh[s:e][:, None] | fresh[s:e][None, :])
+            better &= root[s:e][:, None] != root[s:e][None, :]
+            row, column = np.nonzero(better)
+            for o, values in zip(out, (node[s:e][row], node[s:e][column], sims[row, column])):
+                o.append(values)
+        edges = [np.concatenate(o) if o else np.zeros(0) for o in out]
+        frame = pd.DataFrame({"a": edges[0].astype(np.int64), "b": edges[1].astype(np.int64), "sim": edges[2]})
+        frame = frame[frame["a"] != frame["b"]].drop_duplicates(["a", "b"])
+        frame = frame.sort_values(["a", "sim", "b"], ascending=[True, False, True]).groupby("a").head(keep)
+        return _edges(frame["a"], frame["b"], frame["sim"])
+
+    return join
 
 
 def _top(edges: DataFrame, keep: int) -> DataFrame:
@@ -153,13 +165,18 @@ def _top(edges: DataFrame, keep: int) -> DataFrame:
 
 class Graph:
     """Neighbour lists (a, b, sim, new, place) over written ``nodes`` (node, root, dim, vec): only vectors of
-    different roots are neighbours. ``paths`` (a, b) are further ways from node to node that a descent goes."""
-
-    def __init__(self, nodes: DataFrame, keep: int = LIST, paths: DataFrame | None = None):
-        self.nodes, self.keep, self.paths, self.spark = nodes, keep, paths, nodes.sparkSession
+    different roots are neighbours. ``paths`` (a, b) are further ways from node to node that a descent goes,
+    ``lists`` shorter lists to start from; no entry is less similar than ``floor``."""
+
+    def __init__(
+        self, nodes: DataFrame, keep: int = LIST, paths: DataFrame | None = None,
+        lists: DataFrame | None = None, floor: float = -2.0,
+    ):
+        self.nodes, self.keep, self.paths, self.floor, self.spark = nodes, keep, paths, floor, nodes.sparkSession
         self.n = nodes.count()
-        self.buckets = max(8, self.n // 2_000)
-        self.lists: DataFrame | None = None
+        # Long lists make small buckets.
+        self.buckets = max(8, self.n * keep // (2_000 * LIST))
+        self.lists = lists
 
     def _write(self, df: DataFrame, label: str) -> DataFrame:
         return storage.materialize(df, storage.fresh_dir(self.spark, label))
@@ -178,9 +195,9 @@ class Graph:
         sub = F.coalesce(F.pmod(F.xxhash64("node", "tree"), F.col("subs")), F.lit(0)).cast("bigint")
         split = dealt.join(crowded, leaf, "left").withColumn("sub", sub).drop("subs")
         split = split.withColumn("bucket", F.pmod(F.xxhash64(*leaf, "sub"), F.lit(self.buckets)))
-        found = split.groupBy("bucket").applyInArrow(_leaf_lists(self.keep), _EDGE_SQL).withColumn("new", F.lit(True))
+        found = split.groupBy("bucket").applyInArrow(_leaf_lists(self.keep, self.floor), _EDGE_SQL).withColumn("new", F.lit(True))
         if self.lists is not None:
-            found = found.unionByName(self.lists.select("a", "b", "sim", F.lit(False).alias("new")))
+            found = found.unionByName(self.lists.select("a", "b", "sim", "new"))
         self.lists = self._write(_top(found, self.keep), "lists")
 
     def descend(self) -> int:
@@ -201,7 +218,7 @@ class Graph:
         around = around.unionByName(own.select("centre", "node", F.lit(False).alias("fresh")))
         around = around.join(self.nodes, "node").join(worst, "node", "left").withColumn("worst", F.coalesce("worst", F.lit(-2.0)))
         around = around.withColumn("bucket", F.pmod(F.xxhash64("centre"), F.lit(self.buckets)))
-        found = around.groupBy("bucket").applyInArrow(_local_join, _EDGE_SQL).withColumn("new", F.lit(True))
+        found = around.groupBy("bucket").applyInArrow(_local_join(self.keep, self.floor), _EDGE_SQL).withColumn("new", F.lit(True))
         old = self.lists.select("a", "b", "sim", F.lit(False).alias("new"))
         self.lists = self._write(_top(found.unionByName(old), self.keep), "lists")
         return self.lists.where("new").count()
@@ -211,6 +228,29 @@ class Graph:
             if self.descend() <= FEW_UPDATES * self.n * self.keep:
                 break
 
+    def full(self, threshold: float) -> DataFrame:
+        """Nodes whose list is full of links, so that more may be missing."""
+        close = self.lists.where(F.col("sim") >= threshold).groupBy(F.col("a").alias("node")).count()
+        return self._write(close.where(F.col("count") >= self.keep).select("node"), "full")
+
+    def wider(self, full: DataFrame, threshold: float) -> Graph:
+        """Lists twice as long for the ``full`` nodes and those that their lists hold, refined anew.
+
+        A link that no list holds has a full list on both sides, so no other node is needed. The lists hold links
+        alone, and start from those there are, all of them new to lists of this length.
+        """
+        held = self.lists.join(full.withColumnRenamed("node", "a"), "a", "left_semi").select(F.col("b").alias("node"))
+        some = self._write(full.unionByName(held).distinct(), "widernodes")
+        nodes = self._write(self.nodes.join(some, "node", "left_semi"), "wider")
+        inside = [some.withColumnRenamed("node", side) for side in ("a", "b")]
+        known = self.lists.where(F.col("sim") >= threshold).join(inside[0], "a", "left_semi").join(inside[1], "b", "left_semi")
+        graph = Graph(nodes, 2 * self.keep, lists=known.withColumn("new", F.lit(True)), floor=threshold)
+        trees = list(range(trees_for(graph.n, threshold)))
+        for i in range(0, len(trees), TREES):
+            graph.plant(trees[i : i + TREES])
+        graph.refine()
+        return graph
+
     def links(self, threshold: float) -> DataFrame:
         """(a, b) both ways round, once each."""
         close = self.lists.where(F.col("sim") >= threshold).select("a", "b")
@@ -330,20 +370,22 @@ def audit(nodes: DataFrame, counts: DataFrame, threshold: float = THRESHOLD, lin
     vectors with links were seen. Both count the weights of other nodes; no link is counted that is not one.
 
     Vectors of ``nodes`` (node, dim, vec, weight) are compared with all others in blocks, in random order, until
-    ``linked`` with links were seen outside components counted ``exact``, or every vector was. Vectors inside and
-    outside those are averaged apart and the lower counts, so one large group does not hide lone pairs.
+    ``linked`` with links were seen outside components counted ``exact``, or every vector was, or AUDIT_MOST were.
+    Vectors inside and outside those are averaged apart and the lower counts, so one large group does not hide
+    lone pairs.
     """
     # Hash and node order the vectors; a block starts after the last of the block before.
     ordered = nodes.withColumn("place", F.xxhash64(F.lit(SEED), "node"))
-    after, size = None, AUDIT_BLOCK
+    after, size, left = None, AUDIT_BLOCK, AUDIT_MOST
     share, seen = {True: 0.0, False: 0.0}, {True: 0, False: 0}
-    while seen[False] < linked:
+    while seen[False] < linked and left > 0:
         rest = ordered if after is None else ordered.where(
             (F.col("place") > F.lit(after[0])) | ((F.col("place") == F.lit(after[0])) & (F.col("node") > F.lit(after[1])))
         )
-        chosen = rest.orderBy("place", "node").limit(size).toPandas()
+        chosen = rest.orderBy("place", "node").limit(min(size, left)).toPandas()
         if chosen.empty:
             break
+        left -= len(chosen)
         after, size = (int(chosen["place"].iloc[-1]), int(chosen["node"].iloc[-1])), min(2 * size, MOST_BLOCK)
         truth = _audit_block(nodes, chosen.drop(columns="place"), threshold)
         part = F.least(F.coalesce("links", F.lit(0)) / F.col("wanted"), F.lit(1.0))
@@ -370,19 +412,27 @@ def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+def enlarged(graph: Graph, threshold: float) -> tuple[Graph, DataFrame, DataFrame]:
+    """(graph, links, full): the graph of the longest lists, the links of all lists, and the nodes whose list is
+    full of links even at WIDEST entries."""
+    links, full = graph.links(threshold), graph.full(threshold)
+    while 2 * graph.keep <= WIDEST and not full.isEmpty():
+        graph = graph.wider(full, threshold)
+        links, full = links.unionByName(graph.links(threshold)), graph.full(threshold)
+    return graph, storage.materialize(links.distinct(), storage.fresh_dir(graph.spark, "veclinks")), full
+
+
 def joined_components(
-    graph: Graph, classes: DataFrame, links: DataFrame, threshold: float, trees: list[int]
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(links, members, full): ``links`` and those that full lists had no room for, members (node, root, least) of
-    the components, and the nodes whose list is full of links.
+    graph: Graph, classes: DataFrame, links: DataFrame, full: DataFrame, threshold: float, trees: list[int]
+) -> tuple[DataFrame, DataFrame]:
+    """(links, members): ``links`` and those that ``full`` lists of ``graph`` had no room for, and members (node,
+    root, least) of the components.
 
     A link that no list holds has a full list on both sides. Between such nodes lists of the nearest vectors
     of other components are made, along the old lists too; what they link is joined, until no component is.
     """
     spark = graph.spark
     close = graph.lists.where(F.col("sim") >= threshold)
-    full = close.groupBy(F.col("a").alias("node")).count().where(F.col("count") >= graph.keep).select("node")
-    full = storage.materialize(full, storage.fresh_dir(spark, "full"))
     member = _components(classes, links)
     while True:
         inside = full.join(member, "node").join(classes.select("node", "dim", "vec"), "node")
@@ -390,7 +440,7 @@ def joined_components(
         if inside.select("root").distinct().limit(2).count() < 2:
             break
         paths = close.join(full.withColumnRenamed("node", "a"), "a", "left_semi").join(full.withColumnRenamed("node", "b"), "b", "left_semi")
-        across = Graph(inside, graph.keep, paths.select("a", "b"))
+        across = Graph(inside, LIST, paths.select("a", "b"))
         for i in range(0, len(trees), TREES):
             across.plant(trees[i : i + TREES])
         across.refine()
@@ -399,7 +449,7 @@ def joined_components(
             break
         links = storage.materialize(links.unionByName(found), storage.fresh_dir(spark, "veclinks"))
         member = _components(classes, links)
-    return links, member, full
+    return links, member
 
 
 def node_counts(classes: DataFrame, links: DataFrame, member: DataFrame, full: DataFrame, threshold: float) -> DataFrame:
@@ -424,14 +474,15 @@ def node_counts(classes: DataFrame, links: DataFrame, member: DataFrame, full: D
 
 
 def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(vec_id, n_links, component_id, kept), a row per vector row.
+    """(vec_id, n_links, component_id, kept, recall, recall_seen), a row per vector row.
 
     Equal vectors are one node with a weight, so a group of copies costs one row. Lists of LIST neighbours
     start from random trees, more of them the deeper they are, and are refined until few entries change; a sample
-    is audited, and as long as too few of its links are found more trees are planted, twice as many each time. If
-    recall stays below RECALL after ROUNDS rounds, it is raised as an error. Links are the entries at or above ``threshold``. A list full
-    of links may miss some: components that such lists keep apart are joined first (``joined_components``), then
-    all lists of a component with one are enlarged to the component, and counted exactly.
+    is audited, and as long as too few of its links are found more trees are planted, twice as many each time, in
+    ROUNDS rounds at most. ``recall`` is what the last audit measured over ``recall_seen`` vectors with links, the
+    same in every row. Links are the entries at or above ``threshold``. A list full of links may miss some: such
+    lists are doubled (``enlarged``). Components that lists of WIDEST entries keep apart are joined
+    (``joined_components``), and the links inside a component with such a list are counted exactly.
 
     Defined results: a null or zero vector, and one with a null, infinite or undefined component, links with
     nothing; vectors of different length are not compared; repeated rows are vectors of their own; a null
@@ -451,21 +502,19 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         storage.fresh_dir(spark, "classes"),
     )
     graph = Graph(classes.select("node", F.col("node").alias("root"), "dim", "vec"))
-    planted, recall = 0, 0.0
+    planted, recall, seen = 0, 0.0, 0
     for attempt in range(ROUNDS):
         trees = list(range(planted, planted + trees_for(graph.n, threshold) * 2**attempt))
         planted += len(trees)
         for i in range(0, len(trees), TREES):
             graph.plant(trees[i : i + TREES])
         graph.refine()
-        links = storage.materialize(graph.links(threshold), storage.fresh_dir(spark, "veclinks"))
-        links, member, full = joined_components(graph, classes, links, threshold, trees)
+        wide, links, full = enlarged(graph, threshold)
+        links, member = joined_components(wide, classes, links, full, threshold, trees)
         counts = node_counts(classes, links, member, full, threshold)
         recall, seen = audit(classes.select("node", "dim", "vec", "weight"), counts, threshold)
         if recall >= RECALL:
             break
-    else:
-        raise RuntimeError(f"recall {recall:.4f} over {seen} vectors with links after {planted} trees; {RECALL} is asked for")
     smallest = member.groupBy("root").agg(F.min("least").alias("component_id"))
     per_class = (
         classes.select("name", "node", "weight").join(member.select("node", "root"), "node").join(smallest, "root")
@@ -476,4 +525,7 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         F.coalesce("component_id", F.when(F.col("name").isNull(), F.col("vec_id"))).alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    ).withColumns({
+        "kept": F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)),
+        "recall": F.lit(round(recall, 6)), "recall_seen": F.lit(seen).cast("bigint"),
+    })
