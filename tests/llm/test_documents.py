@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import textwrap
+import time
 import zlib
 
 import pytest
@@ -293,6 +294,95 @@ def test_wrapped_notices_match_every_rule(spark):
     assert [(r.licenses, [m.rule for m in r.matches]) for r in got] == want
 
 
+# Notices as they are shipped, not built from the table.
+NOTICES = [
+    ("ISC", """Copyright (c) 2013, Somebody
+
+Permission to use, copy, modify, and distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES"""),
+    ("BSD-3-Clause", """// Redistribution and use in source and binary forms, with or without
+// modification, are permitted provided that the following conditions are
+// met:
+//
+//    * Redistributions of source code must retain the above copyright
+// notice, this list of conditions and the following disclaimer.
+//    * Redistributions in binary form must reproduce the above
+// copyright notice, this list of conditions and the following disclaimer
+// in the documentation and/or other materials provided with the
+// distribution.
+//    * Neither the name of Example Inc. nor the names of its
+// contributors may be used to endorse or promote products derived from
+// this software without specific prior written permission."""),
+    ("Apache-2.0", """/*
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *      https://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */"""),
+    ("LGPL-2.1-or-later", """ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version."""),
+    ("AGPL-3.0-or-later", """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU Affero General Public License as
+# published by the Free Software Foundation, either version 3 of the
+# License, or (at your option) any later version."""),
+    ("MPL-2.0", """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"""),
+    ("GPL-2.0-only", "// SPDX-License-Identifier: GPL-2.0-only\nint x;"),
+    ("MIT", "# foo\n\nThis software is released under the MIT License, see LICENSE.\n\n// SPDX-License-Identifier: MIT"),
+    ("Zlib", """  This software is provided 'as-is', without any express or implied
+  warranty.  In no event will the authors be held liable for any damages
+  arising from the use of this software.
+
+  Permission is granted to anyone to use this software for any purpose,
+  including commercial applications, and to alter it and redistribute it
+  freely, subject to the following restrictions:"""),
+    ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+Be nice to others.
+
+The above copyright notice and this permission notice (including the next
+paragraph) shall be included in all copies or substantial portions of the
+Software."""),
+]
+
+
+def test_published_notices(spark):
+    rows = [(i, t) for i, (_, t) in enumerate(NOTICES)]
+    got = sorted(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert [r.licenses for r in got] == [n for n, _ in NOTICES]
+    assert [len(r.matches) for r in got] == [1] * len(NOTICES)
+
+
+def test_license_scan_is_linear(spark):
+    notice = "Released under the MIT License."
+    texts = ["\n" * 500_000 + notice, "-" * 2_000_000 + "\n" + notice, "this " * 300_000 + "\n" + notice, "the x. " * 200_000 + notice]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").cache()
+    table.count()
+    began = time.monotonic()
+    got = licenses.scan(table).collect()
+    assert [r.licenses for r in got] == ["MIT"] * 4
+    assert time.monotonic() - began < 20
+
+
 def test_imatch_edits_and_fingerprints(docs, rows, spark):
     got = imatch.edited_report(docs).collect()
     chars = [(r[0], len(r[1] or "")) for r in rows]
