@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textpulse import rules, storage
-from textpulse.functions import dates, keys, text
-from textpulse.operators import dimensions, enrich, keyfilter, staging
+from textpulse.functions import dates, keys
+from textpulse.operators import dimensions, enrich, keyfilter, linear, staging
+from textpulse.plans import training
 from textpulse.session import use_utc
 from textpulse.sinks.tables import add_dimension, add_facts, append_dimension  # noqa: F401
 from textpulse.sources.warehouse import Batch, Change, Warehouse
@@ -29,13 +30,25 @@ def model_scorer(model: PipelineModel, clean: str = "train") -> Scorer:
 
     def score(prepared: DataFrame) -> DataFrame:
         if clean == "train":
-            prepared = prepared.withColumn("clean_text", text.clean_for_training("raw_text"))
+            prepared = prepared.withColumn("clean_text", training.term_text("raw_text"))
         scored = model.transform(prepared)
         return scored.select(*prepared.columns, "prediction")
 
     return score
 
 
+def table_scorer(weights: DataFrame) -> Scorer:
+    """Adds ``prediction`` by a linear classifier kept as a table; texts are cleaned as for training."""
+    terms = PipelineModel(training.term_stages())
+
+    def score(prepared: DataFrame) -> DataFrame:
+        cleaned = prepared.withColumn("clean_text", training.term_text("raw_text"))
+        scored = linear.scored(terms.transform(cleaned), weights)
+        return scored.select(*prepared.columns, "prediction")
+
+    return score
+
+
 def pending(
     spark: SparkSession,
     log_path: str,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from textpulse import rules
 from textpulse.functions import keys, text
-from textpulse.operators import evaluation
+from textpulse.operators import evaluation, linear
 from textpulse.sinks.models import save_metrics, save_model
 from textpulse.sources.files import training_rows
 
@@ -31,9 +31,15 @@ def label_of(sentiment: Column | str) -> Column:
     return F.when(sentiment == first, 0.0).when(sentiment == second, 1.0).otherwise(2.0)
 
 
+def term_text(raw: str) -> Column:
+    """The cleaned text that terms are taken from. Never null: the tokenizer fails on nulls, also on rows that a filter
+    would drop, because Spark may test a filter on the scores first."""
+    return F.coalesce(text.clean_for_training(raw), F.lit(""))
+
+
 def labelled(rows: DataFrame) -> DataFrame:
     return usable(rows).select(
-        text.clean_for_training("text").alias("clean_text"),
+        term_text("text").alias("clean_text"),
         label_of("sentiment").alias("label"),
         keys.digest("text").alias("split_key"),
     )
@@ -104,6 +110,12 @@ def fit(train: DataFrame) -> PipelineModel:
     return PipelineModel([*terms.stages, weights, model])
 
 
+def certified(features: DataFrame, classifier_model: LogisticRegressionModel) -> DataFrame:
+    """``linear.certificate`` of a fit over the rows (label, features) it was made from."""
+    scored = classifier_model.transform(features).withColumn("shares", vector_to_array("probability"))
+    return linear.certificate(scored, linear.feature_weights_of(features.sparkSession, classifier_model))
+
+
 def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
     """The metrics document; all of it from one pass over the hold-out rows."""
     return evaluation.scores(evaluation.confusion(model.transform(test)))

@@ -13,3 +13,8 @@ def save_model(model: PipelineModel, path: str) -> None:
 def save_metrics(metrics: DataFrame, path: str) -> None:
     """One row, one JSON document."""
     metrics.write.mode("overwrite").json(path)
+
+
+def save_weights(weights: DataFrame, path: str) -> None:
+    """A linear classifier's table, sorted by slot; a second save replaces the first."""
+    weights.repartition(1).sortWithinPartitions("bucket", "class").write.mode("overwrite").parquet(path)

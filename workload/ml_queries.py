@@ -6,10 +6,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from textpulse import storage
-from textpulse.operators import evaluation, staging
+from textpulse.operators import evaluation, linear, staging
 from textpulse.plans import etl, training
-from textpulse.sinks.models import save_metrics, save_model
-from textpulse.sources.models import load_metrics, load_model
+from textpulse.sinks.models import save_metrics, save_model, save_weights
+from textpulse.sources.models import load_metrics, load_model, load_weights
 from textpulse.sources.warehouse import Warehouse
 from workload import inputs, sql
 from workload.registry import register
@@ -95,13 +95,19 @@ def _fitted_idf(spark, sf_dir):
     return training.weighting().fit(counted), counted
 
 
-@register("idf_docfreq")
+@register("idf_docfreq", lambda: f"""WITH {sql.TRAINING}, {sql.term_counts()}
+SELECT bucket, count(*) AS doc_freq FROM term_counts GROUP BY bucket""")
 def idf_docfreq(spark, sf_dir):
     """Document frequency per hashed term, counted on the executors; a test compares it with the fitted stage."""
     return training.document_frequency(PipelineModel(training.term_stages()).transform(_labelled(spark, sf_dir)))
 
 
-@register("ml_idf")
+@register("ml_idf", lambda: f"""WITH {sql.TRAINING}, {sql.term_counts()},
+totals AS (SELECT label, count(*) AS row_count FROM texts GROUP BY label),
+frequency AS (SELECT bucket, ln(((SELECT sum(row_count) FROM totals) + 1) / (count(*) + 1)) AS weight
+  FROM term_counts GROUP BY bucket)
+SELECT label, any_value(row_count) AS row_count, round(coalesce(sum(tf * weight), 0), 6) AS total_weight
+FROM totals LEFT JOIN term_counts USING (label) LEFT JOIN frequency USING (bucket) GROUP BY label""")
 def ml_idf(spark, sf_dir):
     """TF-IDF vectors, summed per label."""
     model, counted = _fitted_idf(spark, sf_dir)
@@ -110,23 +116,115 @@ def ml_idf(spark, sf_dir):
 
 # Model
 
-@register("ml_logreg")
+# Slopes are held against the one at zero weights: a fit cut off after MAX_ITERATIONS rounds has lost four fifths of
+# it, one that ran to its end nearly all.
+CUT_OFF, AT_END, END_ITERATIONS = 0.2, 0.001, 500
+
+
+def _certificate_rows(certificate, share):
+    return certificate.select(
+        "row_count",
+        (F.col("gradient") <= share * F.col("start_gradient")).alias("slope_small"),
+        (F.col("constant_gradient") <= share / 10).alias("constants_settled"),
+    )
+
+
+_ALL_CERTIFIED = """SELECT count(*) AS row_count, true AS slope_small, true AS constants_settled FROM"""
+
+
+@register("ml_logreg", f"WITH {sql.TRAINING} {_ALL_CERTIFIED} usable")
 def ml_logreg(spark, sf_dir):
-    """The classifier alone on ready features: rows per label and prediction."""
+    """The classifier alone on ready features, run to its end: its slope, worked out from the rows by the certificate,
+    is all but gone, so these are the best weights."""
+    weights, counted = _fitted_idf(spark, sf_dir)
+    ready = weights.transform(counted).select("features", "label")
+    fitted = training.classifier().setMaxIter(END_ITERATIONS).fit(ready)
+    return _certificate_rows(training.certified(ready, fitted), AT_END)
+
+
+@register("ml_logreg_predictions")
+def ml_logreg_predictions(spark, sf_dir):
+    """The classifier alone, stopped after MAX_ITERATIONS: rows per label and prediction."""
     weights, counted = _fitted_idf(spark, sf_dir)
     ready = weights.transform(counted).select("features", "label")
     scored = training.classifier().fit(ready).transform(ready)
     return scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-@register("ml_train")
+@register("ml_train", lambda: f"""WITH {sql.TRAINING}
+{_ALL_CERTIFIED} usable WHERE {sql.slot('sha256(text)', 100)} < 80""")
 def ml_train(spark, sf_dir):
+    """The whole pipeline fitted on the training part, and the certificate of that fit."""
+    part, _ = training.split(_labelled(spark, sf_dir))
+    model = training.fit(part)
+    ready = PipelineModel(model.stages[:-1]).transform(part).select("features", "label")
+    ready = storage.materialize(ready, storage.fresh_dir(spark, "features"))
+    return _certificate_rows(training.certified(ready, model.stages[-1]), CUT_OFF)
+
+
+@register("ml_train_predictions")
+def ml_train_predictions(spark, sf_dir):
     """The whole pipeline fitted on the training part; rows per label and prediction of that part."""
     part, _ = training.split(_labelled(spark, sf_dir))
     scored = training.fit(part).transform(part)
     return scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+# A classifier made by counting, kept as a table and applied by the same plan as fitted weights
+
+def _counted(rows):
+    return PipelineModel(training.term_stages()).transform(rows)
+
+
+def _weights(spark, sf_dir):
+    """Saved and read back; made from the training part."""
+    part, _ = training.split(_labelled(spark, sf_dir))
+    path = storage.fresh_dir(spark, "weights")
+    for _ in range(2):
+        save_weights(linear.count_weights(_counted(part)), path)
+    return load_weights(spark, path)
+
+
+@register("sink_save_weights", lambda: f"""WITH {sql.count_weights()}
+SELECT class, count(*) AS weights, round(sum(weight), 6) AS total FROM weights GROUP BY class""")
+def sink_save_weights(spark, sf_dir):
+    """Saves twice (the second replaces the first) and sums what was read back."""
+    total = _weights(spark, sf_dir).groupBy("class")
+    return total.agg(F.count(F.lit(1)).alias("weights"), F.sum("weight").alias("total"))
+
+
+@register("src_load_weights", lambda: f"""WITH {sql.count_weights()}, {sql.classified('texts')}
+SELECT label, prediction, count(*) AS row_count FROM texts JOIN predicted USING (id) GROUP BY ALL""")
+def src_load_weights(spark, sf_dir):
+    """Rows per label and prediction of all labelled texts by the loaded table."""
+    scored = linear.scored(_counted(_labelled(spark, sf_dir)), _weights(spark, sf_dir))
+    return scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@register("ml_evaluate_table", lambda: f"""WITH {sql.count_weights()}, {sql.classified('texts')}
+SELECT count(*) AS row_count, round(avg((label = prediction)::INT), 6) AS accuracy
+FROM texts JOIN predicted USING (id) WHERE NOT in_training""")
+def ml_evaluate_table(spark, sf_dir):
+    """Accuracy of the table on the hold-out part."""
+    _, test = training.split(_labelled(spark, sf_dir))
+    right = (F.col("label") == F.col("prediction")).cast("int")
+    return linear.scored(_counted(test), _weights(spark, sf_dir)).agg(
+        F.count(F.lit(1)).alias("row_count"), F.avg(right).alias("accuracy")
+    )
+
+
+@register("ml_predict_table", lambda: f"""WITH {sql.count_weights()}, {sql.LATEST}, {sql.message_terms()},
+{sql.classified('message_texts', 'message_counts')}
+SELECT prediction, count(*) AS messages FROM predicted GROUP BY prediction""")
+def ml_predict_table(spark, sf_dir):
+    """Class counts of the current messages by the loaded table."""
+    current = staging.current_messages(inputs.staged(spark, sf_dir)).withColumn("raw_text", F.col("text"))
+    scored = etl.table_scorer(_weights(spark, sf_dir))(current)
+    return scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("messages"))
+
+
+# The trained model
+
 @register("ml_predict")
 def ml_predict(spark, sf_dir):
     """Class counts of the current messages by the saved model."""

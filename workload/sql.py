@@ -184,3 +184,86 @@ CSV_MESSAGES = """SELECT 'Twitter (Bitcoin Dataset)' AS source, text, created_at
 
 SEARCH_MESSAGES = f"""SELECT 'Twitter (Real)' AS source, {TWEET_TEXT} AS text,
   '2024-02-01 00:00:00' AS created_at FROM tweets WHERE {TWEET_TEXT} <> ''"""
+
+
+def term_bucket(term: str, buckets: int = rules.HASH_BUCKETS) -> str:
+    """Slot of a term: its 32-bit Murmur3 hash with seed 42, signed, modulo the number of slots."""
+
+    def wrap(x: str) -> str:
+        return f"(({x}) % 4294967296)"
+
+    def turned(x: str, bits: int) -> str:
+        return wrap(f"(({x}) << {bits}) | (({x}) >> {32 - bits})")
+
+    def mixed(word: str) -> str:
+        first = wrap(f"{word} * 3432918353::UBIGINT")
+        return wrap(f"{turned(first, 15)} * 461845907::UBIGINT")
+
+    def word_at(hexed: str) -> str:
+        """Four bytes, lowest first; missing ones count as zero."""
+        pairs = "".join(f" || substr(rpad({hexed}, 8, '0'), {at}, 2)" for at in (7, 5, 3, 1))
+        return f"('0x'{pairs})::UBIGINT"
+
+    hexed = f"hex(encode({term}))"
+    whole = f"(length({hexed}) // 8)"
+    words = f"list_transform(range(0, {whole}), lambda i: {mixed(word_at(f'substr({hexed}, i * 8 + 1, 8)'))})"
+    step = wrap(f"{turned('xor(h, k)', 13)} * 5 + 3864292196::UBIGINT")
+    body = f"list_reduce({words}, lambda h, k: {step}, 42::UBIGINT)"
+    tail = mixed(word_at(f"substr({hexed}, {whole} * 8 + 1)"))
+
+    def spread(x: str, shift: int, factor: int) -> str:
+        return wrap(f"xor({x}, ({x}) >> {shift}) * {factor}::UBIGINT")
+
+    # One list per step, so that each value is worked out once.
+    chain = f"[xor(xor({body}, {tail}), (length({hexed}) // 2)::UBIGINT)]"
+    for shift, factor in ((16, 2246822507), (13, 3266489909), (16, 1)):
+        chain = f"list_transform({chain}, lambda x: {spread('x', shift, factor)})"
+    signed = f"list_transform({chain}, lambda x: CASE WHEN x >= 2147483648 THEN x::BIGINT - 4294967296 ELSE x::BIGINT END)[1]"
+    return f"((({signed} % {buckets}) + {buckets}) % {buckets})"
+
+
+def _tokens(text: str) -> str:
+    return rf"""list_filter(regexp_split_to_array({clean_for_training(text)}, '\s+'),
+  lambda t: length(t) >= 1 AND NOT list_contains([{quoted(stop_words())}], t))"""
+
+
+def term_counts() -> str:
+    """``term_counts(id, label, bucket, tf)`` of the usable training rows, terms hashed once each; needs TRAINING."""
+    return rf"""texts AS (SELECT id, {LABEL} AS label, {slot('sha256(text)', 100)} < 80 AS in_training,
+  {_tokens('text')} AS tokens FROM usable),
+words AS (SELECT id, label, unnest(tokens) AS term FROM texts),
+buckets AS (SELECT term, {term_bucket('term')} AS bucket FROM (SELECT DISTINCT term FROM words)),
+term_counts AS (SELECT id, label, bucket, count(*) AS tf FROM words JOIN buckets USING (term) GROUP BY ALL)"""
+
+
+def message_terms() -> str:
+    """``message_texts(id)`` and ``message_counts(id, bucket, tf)`` of the current messages; needs LATEST."""
+    return rf"""message_texts AS (SELECT message_key AS id, {_tokens('text')} AS tokens FROM latest),
+message_words AS (SELECT id, unnest(tokens) AS term FROM message_texts),
+message_buckets AS (SELECT term, {term_bucket('term')} AS bucket FROM (SELECT DISTINCT term FROM message_words)),
+message_counts AS (SELECT id, bucket, count(*) AS tf FROM message_words JOIN message_buckets USING (term) GROUP BY ALL)"""
+
+
+def count_weights() -> str:
+    """``weights(bucket, class, weight)`` by counting terms of the training part; constants at bucket -1."""
+    n = rules.HASH_BUCKETS
+    return rf"""{TRAINING}, {term_counts()},
+part AS (SELECT label, len(tokens) AS terms FROM texts WHERE in_training),
+per_class AS (SELECT label, count(*) AS row_count, sum(terms) AS terms FROM part GROUP BY label),
+class_counts AS (SELECT label, bucket, sum(tf) AS tf FROM term_counts
+  JOIN texts USING (id, label) WHERE in_training GROUP BY ALL),
+weights AS (
+  SELECT s.bucket, label::BIGINT AS class, ln((coalesce(tf, 0) + 1) / (terms + {n})) AS weight
+  FROM per_class CROSS JOIN range({n}) s(bucket) LEFT JOIN class_counts USING (label, bucket)
+  UNION ALL
+  SELECT -1, label::BIGINT, ln(row_count / (SELECT sum(row_count) FROM per_class)) FROM per_class)"""
+
+
+def classified(texts: str, counts: str = "term_counts") -> str:
+    """``predicted(id, prediction)`` of texts with term counts, by ``weights``."""
+    return rf"""margins AS (
+  SELECT id, class, sum(weight) AS margin FROM (
+    SELECT id, class, tf * weight AS weight FROM {counts} JOIN weights USING (bucket)
+    UNION ALL SELECT id, class, weight FROM {texts}, weights WHERE bucket = -1) GROUP BY ALL),
+predicted AS (SELECT id, class::DOUBLE AS prediction FROM margins
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY margin DESC, class) = 1)"""
