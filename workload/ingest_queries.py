@@ -46,6 +46,12 @@ def src_training_csv(spark, sf_dir):
     return files.training_rows(spark, inputs.training_csv(spark, sf_dir))
 
 
+@register("src_training_csv_landed", f"WITH {sql.TRAINING} SELECT id, entity, sentiment, text FROM training")
+def src_training_csv_landed(spark, sf_dir):
+    """The same file cut into records by byte ranges, in many tasks."""
+    return files.training_rows(spark, inputs.training_csv(spark, sf_dir), storage.fresh_dir(spark, "landed"))
+
+
 def _archive(spark, sf_dir):
     """The messages as a tweet archive: twelve fields, date and text at places 8 and 9."""
 
@@ -67,6 +73,11 @@ def src_tweets_csv(spark, sf_dir):
     return files.archived_tweets(spark, _archive(spark, sf_dir))
 
 
+@register("src_tweets_csv_landed", f"WITH {sql.RAW} {sql.CSV_MESSAGES}")
+def src_tweets_csv_landed(spark, sf_dir):
+    return files.archived_tweets(spark, _archive(spark, sf_dir), storage.fresh_dir(spark, "landed"))
+
+
 @register("src_wiki_changes", f"WITH {sql.CHANGES} {sql.WIKI_MESSAGES}")
 def src_wiki_changes(spark, sf_dir):
     changes = feeds.parse_changes(inputs.wiki_changes(spark, sf_dir))
