@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from textpulse import rules, storage
 from textpulse.functions.dates import GRAINS
 from textpulse.operators import recent, staging, summary
+from textpulse.operators import textindex
 from textpulse.operators.star import Criteria, Star
 from textpulse.plans import adhoc, bi, etl, training
 from textpulse.session import build_session, use_utc
@@ -93,7 +94,13 @@ def page_job(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def adhoc_job(spark: SparkSession, args: argparse.Namespace) -> None:
-    deliver(adhoc.adhoc(_star(spark, args), _criteria(args), args.limit), args.output, args.limit)
+    criteria = _criteria(args)
+    star = Star.searching(Warehouse(spark, args.warehouse), criteria.keyword) if criteria.keyword else _star(spark, args)
+    deliver(adhoc.adhoc(star, criteria, args.limit), args.output, args.limit)
+
+
+def index_job(spark: SparkSession, args: argparse.Namespace) -> None:
+    print(f"indexed {textindex.build(Warehouse(spark, args.warehouse))} folders")
 
 
 def recent_job(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -169,6 +176,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--grain", choices=list(GRAINS), default="Hour")
     sub.add_argument("--limit", type=int)
     sub.add_argument("--output", help="folder for whole panels")
+    job("index", index_job, "warehouse")
     sub = criteria(job("adhoc", adhoc_job, "warehouse"))
     sub.add_argument("--limit", type=int, default=rules.ADHOC_LIMIT)
     sub.add_argument("--output", help="folder for all rows")

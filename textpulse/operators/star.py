@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textpulse.functions import dates, keys, text
+from textpulse.operators import textindex
 from textpulse.sources.warehouse import Warehouse
 
 
@@ -81,6 +82,12 @@ class Star:
         warehouse = warehouse.pinned()
         return replace(cls.of(warehouse), hours=warehouse.hours)
 
+    @classmethod
+    def searching(cls, warehouse: Warehouse, keyword: str) -> Star:
+        """For criteria with this keyword: the facts are those of the folders that may hold it, by the text index."""
+        warehouse = warehouse.pinned()
+        return replace(cls.of(warehouse), facts=textindex.searched(warehouse, keyword))
+
     def register_views(self) -> Star:
         """Temp views under the tables' own names, for free SQL."""
         self.facts.createOrReplaceTempView("fact_sentiment")

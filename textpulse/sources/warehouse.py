@@ -115,7 +115,8 @@ class Warehouse:
         paths = [f"{base}/load={load}" + (f"/date_id={day}" if day is not None else "") for load, day in folders]
         if not paths:
             return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-        reader = self.spark.read.schema(StructType([*schema.fields, StructField("load", StringType())])).option("basePath", base)
+        asked = schema.fields if "load" in schema.names else [*schema.fields, StructField("load", StringType())]
+        reader = self.spark.read.schema(StructType(asked)).option("basePath", base)
         return reader.parquet(*paths).select(*schema.names)
 
     def table(self, name: str) -> DataFrame:
@@ -137,6 +138,10 @@ class Warehouse:
     def dates(self) -> DataFrame:
         return self.table("dim_date")
 
+    def folders_of_facts(self, folders: Iterable[Folder]) -> DataFrame:
+        """The facts of some folders, with the load that wrote each."""
+        return self._rows(FACTS, StructType([*schemas.FACT.fields, StructField("load", StringType())]), folders)
+
     def key_filters(self) -> DataFrame:
         """The filters of all fact folders: which days may hold a fact id."""
         return self._rows(KEY_FILTERS, schemas.KEY_FILTERS, self.version().folders.get(FACTS, ()))

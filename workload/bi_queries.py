@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from textpulse import rules
 from textpulse.functions import dates
-from textpulse.operators import recent, summary
-from textpulse.operators.star import Criteria, drill_down
+from textpulse.operators import recent, summary, textindex
+from textpulse.operators.star import Criteria, Star, drill_down
 from textpulse.plans import adhoc, bi
 from workload import inputs, sql
 from workload.registry import register
@@ -93,6 +93,15 @@ def filter_ilike(spark, sf_dir):
     return inputs.star(spark, sf_dir).narrowed(criteria).select("fact_id", "text")
 
 
+@register("filter_ilike_indexed", _facts("SELECT fact_id, text FROM facts WHERE text ILIKE '%BitCoin W%'"))
+def filter_ilike_indexed(spark, sf_dir):
+    """The same search where only folders are opened that hold all three-letter strings of the keyword."""
+    tables = inputs.warehouse(spark, sf_dir)
+    textindex.build(tables)
+    criteria = Criteria(keyword="BitCoin W")
+    return Star.searching(tables, criteria.keyword).narrowed(criteria).select("fact_id", "text")
+
+
 _CRITERIA = Criteria(
     sources=("src0", "src1", "src2", "src3", "src4", "unknown"),
     topics=("Crypto", "AI & Tech", "Politics", "Other"),
