@@ -79,3 +79,20 @@ def test_text_is_shuffled_once_and_no_file_is_one_group(spark, tmp_path):
     known = read.select("*", F.lit(False).alias("ends_outside"), F.lit(True).alias("ends_inside"))
     plan = landing._with_state(known, "place", ["file", "range"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
+
+
+def test_only_records_of_several_lines_are_shuffled_once_read(spark, tmp_path):
+    """Ranges and files are met by broadcasts of a row each, however long the texts are; no window and no sort is left."""
+    (tmp_path / "f.csv").write_text('h,"i\nj",k\na,"b\nc",d\ne,f,g\n')
+    plan = landing.records(landing.lines(spark, str(tmp_path)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("text", ["\n\nh,i,j\na,b,c\n", ' \n"h\ni",j,k\n"a\nb",c,d\n', "h,i,j\r\n\r\na,b,c\r\n", "\n", "h,i,j"])
+def test_first_record_that_is_not_blank_is_the_header(spark, tmp_path, text):
+    (tmp_path / "f.csv").write_bytes(text.encode())
+    (tmp_path / "g.csv").write_text("h,i,j\nx,y,z\n")
+    got = landing.land_csv(spark, str(tmp_path), storage.fresh_dir(spark, "landed"), SCHEMA, True)
+    want = {"\n\nh": ("a", "b", "c"), ' \n"': ("a\nb", "c", "d"), "h,i,j\r": ("a", "b", "c")}
+    first = [row for start, row in want.items() if text.startswith(start)]
+    assert rows_of(got) == sorted([*first, ("x", "y", "z")])

@@ -70,22 +70,33 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def records(read: DataFrame) -> DataFrame:
+def records(read: DataFrame, header: bool = False) -> DataFrame:
     """(file, range, place, record) of ``lines``, range and place being those of the record's first line. Blank records
     are left out, a carriage return at a record's end goes. A quote that is never closed makes the rest of its file one
-    record, as it does for Spark's reader."""
+    record, as it does for Spark's reader. ``header``: without the first record of each file.
+
+    Texts are shuffled twice: by range, and those of several lines by record. What is known of each range and file is
+    a row or two, and written, so that Spark sees its size and lines meet it where they are.
+    """
     spark = read.sparkSession
     known = read.withColumns({
         "ends_outside": _left_open(F.col("line")),
         "ends_inside": F.when(_quotes(F.col("line")), _left_open(F.concat(F.lit('"'), F.col("line")))).otherwise(True),
     })
-    stated = storage.materialize(_with_state(known, "place", ["file", "range"]), storage.fresh_dir(spark, "lines"))
+    upto = Window.partitionBy("file", "range").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    # The last line up to here that starts a record, for either state at the start of the range.
+    starts = {
+        f"start_{state}": F.max(F.when(~F.col(f"before.{state}"), F.col("place"))).over(upto)
+        for state in ("outside", "inside")
+    }
+    stated = _with_state(known, "place", ["file", "range"]).withColumns(starts)
+    stated = storage.materialize(stated, storage.fresh_dir(spark, "lines"))
 
     # One row per range: the state along each file.
     by_range = stated.groupBy("file", "range").agg(
         F.max_by("after", "place").alias("after"),
-        F.max(F.when(~F.col("before.outside"), F.col("place"))).alias("start_outside"),
-        F.max(F.when(~F.col("before.inside"), F.col("place"))).alias("start_inside"),
+        F.max("start_outside").alias("start_outside"),
+        F.max("start_inside").alias("start_inside"),
     ).select("*", F.col("after.outside").alias("ends_outside"), F.col("after.inside").alias("ends_inside")).drop("after")
     along = _with_state(by_range, "range", ["file"]).select(
         "file", "range", F.col("before.outside").alias("inside"),
@@ -94,30 +105,40 @@ def records(read: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     opened = F.last(F.when(F.col("last_start").isNotNull(), F.struct("range", F.col("last_start").alias("place"))), True)
     along = along.select("file", "range", "inside", opened.over(earlier).alias("open"))
+    along = storage.materialize(along, storage.fresh_dir(spark, "ranges"))
 
+    own = F.when(F.col("inside"), F.col("start_inside")).otherwise(F.col("start_outside"))
     placed = stated.join(along, ["file", "range"]).select(
-        "file", "range", "place", "line", "open",
+        "file", "range", "place", "line",
         (~F.when(F.col("inside"), F.col("before.inside")).otherwise(F.col("before.outside"))).alias("starts"),
         (~F.when(F.col("inside"), F.col("after.inside")).otherwise(F.col("after.outside"))).alias("ends"),
+        F.when(own.isNotNull(), F.struct("range", own.alias("place"))).otherwise(F.col("open")).alias("first"),
     )
+    if header:
+        # Only a record of one line can be blank: the others hold a quote.
+        kept = placed.where(F.col("starts") & (~F.col("ends") | _filled(_bare("line"))))
+        headers = kept.groupBy("file").agg(F.min("first").alias("header"))
+        headers = storage.materialize(headers, storage.fresh_dir(spark, "headers"))
+        placed = placed.join(headers, "file").where(F.col("first") != F.col("header")).drop("header")
     whole = placed.where("starts AND ends").select("file", "range", "place", F.col("line").alias("record"))
-    upto = Window.partitionBy("file", "range").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    own = F.last(F.when(F.col("starts"), F.struct("range", "place")), True).over(upto)
-    parts = placed.where("NOT (starts AND ends)").withColumn("first", F.coalesce(own, "open"))
-    joined = parts.groupBy("file", "first").agg(
+    joined = placed.where("NOT (starts AND ends)").groupBy("file", "first").agg(
         F.array_sort(F.collect_list(F.struct("range", "place", "line"))).alias("parts")
     ).select("file", "first.range", "first.place", F.array_join(F.col("parts.line"), "\n").alias("record"))
-    bare = whole.unionByName(joined).withColumn("record", F.regexp_replace("record", "\r$", ""))
-    return bare.where(F.trim("record") != "")
+    return whole.unionByName(joined).withColumn("record", _bare("record")).where(_filled(F.col("record")))
+
+
+def _bare(record: str) -> Column:
+    return F.regexp_replace(record, "\r$", "")
+
+
+def _filled(record: Column) -> Column:
+    return F.trim(record) != ""
 
 
 def land_csv(spark: SparkSession, path: str, target: str, schema: StructType, header: bool = False) -> DataFrame:
     """CSV files as rows of ``schema``, written as Parquet to ``target`` and read back. ``header``: the first record of
     each file is none of its rows."""
-    found = records(lines(spark, path))
-    if header:
-        first = found.groupBy("file").agg(F.min(F.struct("range", "place")).alias("first"))
-        found = found.join(first, "file").where(F.struct("range", "place") != F.col("first"))
+    found = records(lines(spark, path), header)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     rows = found.select(F.from_csv("record", columns, {"quote": '"', "escape": '"'}).alias("row"))
     return storage.materialize(rows.select("row.*"), target)
