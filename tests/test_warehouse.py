@@ -204,3 +204,19 @@ def test_maintained_hours_equal_recomputation(spark, places):
     read = summary.summarise_by_time(rolled, "Day").inputFiles()
     assert any("fact_hours" in f for f in read) and not any("fact_sentiment" in f for f in read)
     assert recent.limited(rolled, 3).hours is None
+
+
+def test_a_day_gets_one_file_of_filters_and_one_of_hours_however_many_tasks_make_them(spark, places):
+    log, target = places
+    write_batch(spark, log, 0, [(f"text {n}", f"s{n % 9}", f"2024-01-0{1 + n % 3} 0{n % 7}:00:00") for n in range(400)])
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    held = spark.conf.get(merging)
+    spark.conf.set(merging, "false")
+    try:
+        load(spark, log, target)
+    finally:
+        spark.conf.set(merging, held)
+    for table in versions.BESIDE_FACTS:
+        for run, day in target.version().folders[versions.FACTS]:
+            inside = storage.names(spark, f"{target.path(table)}/load={run}/date_id={day}")
+            assert len([name for name in inside if name.endswith(".parquet")]) == 1
