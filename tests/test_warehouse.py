@@ -11,6 +11,7 @@ from textpulse.operators import keyfilter, recent, summary
 from textpulse.operators.star import EVERYTHING, Criteria, Star
 from textpulse.plans import etl
 from textpulse.session import use_utc
+from textpulse.sources import catalogue
 from textpulse.sources import warehouse as versions
 from textpulse.sources.warehouse import Change, Warehouse
 
@@ -220,3 +221,17 @@ def test_a_day_gets_one_file_of_filters_and_one_of_hours_however_many_tasks_make
         for run, day in target.version().folders[versions.FACTS]:
             inside = storage.names(spark, f"{target.path(table)}/load={run}/date_id={day}")
             assert len([name for name in inside if name.endswith(".parquet")]) == 1
+
+
+def test_messages_are_written_with_the_codec_for_texts(spark, places):
+    log, target = places
+    load(spark, log, target)
+    place = storage.fresh_dir(spark, "catalogue")
+    tables = catalogue.Catalogue(spark, "textpulse_codec", place).create()
+    tables.insert(catalogue.STAGING, spark.createDataFrame([("a", "a")], "id string, text string"))
+    tables.refresh(target)
+    run, day = target.version().folders[versions.FACTS][0]
+    for folder in (f"{target.path(versions.FACTS)}/load={run}/date_id={day}", f"{place}/{versions.FACTS}/date_id={day}", f"{place}/raw_data"):
+        written = [name for name in storage.names(spark, folder) if name.endswith(".parquet")]
+        assert written and all(name.endswith(".zstd.parquet") for name in written)
+    assert tables.table(versions.FACTS).count() == target.facts.count()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from textpulse import schemas
+from textpulse import schemas, storage
 from textpulse.sources.warehouse import FACTS, PARTITIONED, Version, Warehouse
 
 STAGING = "raw_data"
@@ -47,14 +47,16 @@ class Catalogue:
     def create(self) -> Catalogue:
         """Database and tables where they are missing."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.location}'")
+        codec = ", ".join(f"'{key}' '{value}'" for key, value in storage.TEXT_CODEC.items())
         for table, schema in TABLES.items():
+            coded = f" OPTIONS ({codec})" if "text" in schema.names else ""
             columns = ", ".join(
                 f"`{c.name}` {c.dataType.simpleString()}" + (f" DEFAULT {DEFAULTS[c.name]}" if c.name in DEFAULTS else "")
                 for c in schema.fields
             )
             split = f" PARTITIONED BY ({PARTITIONED[table]})" if table in PARTITIONED else ""
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet{split} "
+                f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet{coded}{split} "
                 f"LOCATION '{self.location}/{table}'"
             )
         return self

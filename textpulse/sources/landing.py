@@ -90,7 +90,7 @@ def records(read: DataFrame, header: bool = False) -> DataFrame:
         for state in ("outside", "inside")
     }
     stated = _with_state(known, "place", ["file", "range"]).withColumns(starts)
-    stated = storage.materialize(stated, storage.fresh_dir(spark, "lines"))
+    stated = storage.materialize(stated, storage.fresh_dir(spark, "lines"), **storage.TEXT_CODEC)
 
     # One row per range: the state along each file.
     by_range = stated.groupBy("file", "range").agg(
@@ -141,4 +141,4 @@ def land_csv(spark: SparkSession, path: str, target: str, schema: StructType, he
     found = records(lines(spark, path), header)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     rows = found.select(F.from_csv("record", columns, {"quote": '"', "escape": '"'}).alias("row"))
-    return storage.materialize(rows.select("row.*"), target)
+    return storage.materialize(rows.select("row.*"), target, **storage.TEXT_CODEC)
