@@ -206,6 +206,19 @@ def test_mixed_documents_hold_the_words_taken(docs):
     assert sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in mixed.collect()) == taken
 
 
+def test_a_mix_gathers_no_slots_on_the_driver(spark):
+    """Two sources and few, long documents look small; their 1,500,000 slots and 1,000,000 pieces would take more than
+    this in a broadcast. A short one can take a page, here 32 MB."""
+    long = spark.range(20).selectExpr("id doc_id", "repeat('w ', 50000) text", "concat('s', id % 2) source")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "66m")
+    try:
+        got = mixing.mix_report(long, block_words=1).collect()
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert len(got) == 20 and all(r.size == 50_000 and r.taken <= 100_000 for r in got)
+    assert sum(r.taken for r in got) == 1_500_000
+
+
 def plain_removed(rows):
     order = [float("inf") if r[0] is None else r[0] for r in rows]
     octets, first = [(r[1] or "").encode() for r in rows], {}

@@ -78,7 +78,10 @@ def permuted(index: Column, source: Column, epoch: Column, n: Column) -> Column:
 
 def _numbers(rows: DataFrame, start: str, count: str, out: str, tasks: int) -> DataFrame:
     """A row for each of ``count`` numbers from ``start``; a long run is cut first, and the cuts, which are few
-    bytes but much work, are dealt out to so many tasks."""
+    bytes but much work, are dealt out to so many tasks.
+
+    Spark takes the numbers for as few bytes as the runs they come from and would gather them on the driver for a
+    broadcast: a join by number needs the hint ``merge``."""
     cut = rows.where(F.col(count) > 0).withColumn(
         "_at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1, F.lit(_CHUNK).cast("bigint")))
     )
@@ -116,11 +119,11 @@ def plan_mix(sizes: DataFrame, block_words: int = BLOCK_WORDS, shard_blocks: int
 
     tasks = max(spark.sparkContext.defaultParallelism, -(-total // SLOTS_PER_TASK))
     owners = _numbers(sources.select("rank", "first", "n_slots"), "first", "n_slots", "number", tasks).select("rank", "number")
-    draws = spark.range(total).select(
+    draws = spark.range(0, total, 1, tasks).select(
         F.floor(F.col("id") / shard_blocks).cast("bigint").alias("shard"),
         F.pmod(F.xxhash64(F.lit(SEED), F.lit("draw"), "id"), F.lit(max(total, 1)).cast("bigint")).alias("number"),
     )
-    drawn = draws.join(owners, "number").groupBy("rank", "shard").agg(F.count(F.lit(1)).alias("n"))
+    drawn = draws.join(owners.hint("merge"), "number").groupBy("rank", "shard").agg(F.count(F.lit(1)).alias("n"))
     drawn = storage.materialize(drawn, storage.fresh_dir(spark, "draws"))
 
     through = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -145,7 +148,7 @@ def plan_mix(sizes: DataFrame, block_words: int = BLOCK_WORDS, shard_blocks: int
     missing = _numbers(short, "from", "lack", "unit", tasks).select(
         "rank", "unit", (F.col("got") + F.col("unit") - F.col("from")).alias("position")
     )
-    redrawn = spare.join(missing, "unit").select("shard", "rank", "position")
+    redrawn = spare.join(missing.hint("merge"), "unit").select("shard", "rank", "position")
 
     slots = own.unionByName(redrawn).join(sources.select("rank", "n_blocks"), "rank")
     block = permuted(
@@ -185,9 +188,10 @@ def _pieces(rows: DataFrame, sources: DataFrame, block_words: int) -> DataFrame:
 
 
 def _taken(pieces: DataFrame, mix: Mix) -> DataFrame:
-    """Pieces with the number of slots that hold their block."""
+    """Pieces with the number of slots that hold their block. A few long documents make many pieces, which Spark
+    would broadcast for the few bytes of the documents' sizes."""
     times = mix.slots.groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
-    return pieces.join(times, ["rank", "block"])
+    return pieces.join(times.hint("merge"), ["rank", "block"])
 
 
 def source_sizes(rows: DataFrame) -> DataFrame:
