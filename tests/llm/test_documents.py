@@ -219,6 +219,16 @@ def test_a_mix_gathers_no_slots_on_the_driver(spark):
     assert sum(r.taken for r in got) == 1_500_000
 
 
+def test_mixed_documents_gather_no_slots_on_the_driver(spark):
+    long = spark.range(20).selectExpr("id doc_id", "repeat('w ', 50000) text", "concat('s', id % 2) source")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "66m")
+    try:
+        got = mixing.mixed_documents(long, block_words=1).select("doc_id", mixing.size_of().alias("size")).collect()
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert {r.doc_id for r in got} == set(range(20)) and sum(r.size for r in got) == 1_500_000
+
+
 def plain_removed(rows):
     order = [float("inf") if r[0] is None else r[0] for r in rows]
     octets, first = [(r[1] or "").encode() for r in rows], {}
