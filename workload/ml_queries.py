@@ -80,11 +80,19 @@ def ml_hashing_tf(spark, sf_dir):
 
 
 def _vector_totals(rows, vector, name):
-    """Sum of all weights per label. The vectors stay sparse; one sum vector per label comes out."""
+    """Sum of all weights per label. The vectors stay sparse; one sum vector per label comes out, whose entries are summed
+    with what each addition rounds off carried along (Kahan): plain sums differ in the sixth decimal."""
     sums = rows.groupBy("label").agg(
         F.count(F.lit(1)).alias("row_count"), Summarizer.sum(F.col(vector)).alias("sums")
     )
-    total = F.aggregate(vector_to_array("sums"), F.lit(0.0), lambda acc, x: acc + x)
+    total = F.aggregate(
+        vector_to_array("sums"), F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("over")),
+        lambda acc, x: F.struct(
+            (acc["sum"] + (x - acc["over"])).alias("sum"),
+            ((acc["sum"] + (x - acc["over"])) - acc["sum"] - (x - acc["over"])).alias("over"),
+        ),
+        lambda acc: acc["sum"],
+    )
     return sums.select("label", "row_count", total.alias(name))
 
 
